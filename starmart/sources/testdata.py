@@ -7,6 +7,8 @@ column pruning reaches the Parquet scans of the base tables.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +16,8 @@ from starmart.functions.scalars import severity_index, victims, weather_label
 from starmart.operators.keys import natural_key
 from starmart.plans.calendar import calendar_staging, days_spanned, dim_temps, number_days
 from starmart.plans.star import Staging
-from starmart.plans.star_queries import Star
 
 PERSON_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,17 +45,21 @@ def day(stamp: str) -> Column:
 
 
 class TestStar:
-    """Lazy star over one data folder."""
+    """Star over one data folder; a table is planned when a question first asks for it."""
 
     __test__ = False
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
+    @cached_property
     def country(self) -> DataFrame:
         return self.table("region").select(
             F.col("r_regionkey").alias("id_pays"),
@@ -66,10 +70,12 @@ class TestStar:
     def nations(self) -> DataFrame:
         return self.table("nation").select("n_nationkey", "n_name", F.col("n_regionkey").alias("id_pays"))
 
+    @cached_property
     def calendar(self) -> DataFrame:
         days = days_spanned([(self.table("orders"), "o_orderdate")])
         return dim_temps(number_days(calendar_staging(days)))
 
+    @cached_property
     def place(self) -> DataFrame:
         customer = self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
         french_like = F.col("id_pays") <= 1
@@ -81,6 +87,7 @@ class TestStar:
             F.col("c_mktsegment").alias("type_route"),
         )
 
+    @cached_property
     def weather(self) -> DataFrame:
         """One row per (region of the supplier, shipping day)."""
         supplier = self.table("supplier").select("s_suppkey", "s_nationkey")
@@ -114,6 +121,7 @@ class TestStar:
         label = weather_label(F.col("precipitations"), F.col("vent"), F.col("temp_max"))
         return measured.withColumn("conditions", label)
 
+    @cached_property
     def person(self) -> DataFrame:
         """One row per line; ties on the line's key take the smallest labels."""
         line = self.table("lineitem").select(*PERSON_KEY, "l_returnflag", "l_linestatus")
@@ -129,6 +137,7 @@ class TestStar:
             user_label(F.col("l_linenumber")).alias("cat_usager"),
         )
 
+    @cached_property
     def vehicle(self) -> DataFrame:
         return self.table("part").select(
             F.col("p_partkey").alias("id_vehicule"), F.col("p_type").alias("type_vehicule")
@@ -175,23 +184,13 @@ class TestStar:
             severity_index(*counts.values()).alias("indice_gravite"),
         )
 
+    @cached_property
     def fact(self) -> DataFrame:
         return self.fact_staging().na.drop(subset=["date", "id_lieu", "id_usager", "id_vehicule"])
 
-    def star(self) -> Star:
-        return Star(
-            fact=self.fact(),
-            country=self.country(),
-            calendar=self.calendar(),
-            place=self.place(),
-            weather=self.weather(),
-            person=self.person(),
-            vehicle=self.vehicle(),
-        )
-
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
-    return TestStar(spark, sf_dir).star()
+def star(spark: SparkSession, sf_dir: str) -> TestStar:
+    return TestStar(spark, sf_dir)
 
 
 def staging(spark: SparkSession, sf_dir: str) -> Staging:
@@ -205,7 +204,7 @@ def staging(spark: SparkSession, sf_dir: str) -> Staging:
         "id_lieu",
         F.struct("o_orderkey").alias("pos"),
     )
-    place = base.place().drop("id_pays")
+    place = base.place.drop("id_pays")
     places = accidents.select("id_pays", "annee", "cle", "pos", "id_lieu").join(place, "id_lieu").select(
         "id_pays",
         "annee",
