@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from starmart import codebooks
 from starmart.functions.scalars import severity_index, victims
-from starmart.operators.keys import dense_ids
+from starmart.operators.keys import block_ids, dense_ids
 from starmart.schemas import TABLES
+from starmart.sources.scratch import stored
 
 ENTITY_ORDER = ["id_pays", "annee", "pos"]
 ENTITY_KEY = ["id_pays", "cle"]
+# Fields of a position that was given while reading files.
+POSITION = ["src_file", "src_block", "src_row"]
 
 
 @dataclass
@@ -56,12 +59,29 @@ class KeyedStaging:
     starts: Mapping[str, int] = field(default_factory=dict)
 
 
+def number_entities(df: DataFrame, id_col: str, start: int = 1) -> DataFrame:
+    """Key one entity table in source order.
+
+    It is stored first, so that the sources are parsed once.  Rows as read from
+    files are numbered where they are; others are sorted into key order.
+    """
+    kept = stored(df, "staged")
+    numbered = None
+    if kept.schema["pos"].dataType.fieldNames() == POSITION:
+        flat = kept.select("*", "pos.*")
+        block = ["id_pays", "annee", *POSITION[:-1]]
+        numbered = block_ids(flat, id_col, block, POSITION[-1], start, ["pos", *POSITION])
+    if numbered is None:
+        numbered = dense_ids(kept, id_col, ENTITY_ORDER, start, drop=["pos"])
+    return numbered
+
+
 def assign_keys(staging: Staging, starts: Mapping[str, int] | None = None) -> KeyedStaging:
     """Number every entity in source order, countries and years in turn."""
     starts = dict(starts or {})
 
     def number(df: DataFrame, id_col: str) -> DataFrame:
-        return dense_ids(df, id_col, ENTITY_ORDER, starts.get(id_col, 1))
+        return number_entities(df, id_col, starts.get(id_col, 1))
 
     return KeyedStaging(
         number(staging.accidents, "id_accident"),

@@ -1,8 +1,10 @@
 """The analytical questions over a star of DataFrames.
 
-Each function takes the star's tables, stored or derived.  Counts and sums are
-taken per (country, day) before meeting the weather, so the fact itself is not
-shuffled for it.
+Each function takes the star's tables.  Country, calendar and weather are stored
+tables of at most one row per country and day; Spark reads their size from the
+files, broadcasts them while they are small and falls back to a shuffled join
+when they are not, so no hint is given here.  Place, person and vehicle grow with
+the facts and are joined by shuffle as soon as they pass the same limit.
 """
 
 from __future__ import annotations
@@ -30,42 +32,30 @@ class Star:
     vehicle: DataFrame
 
 
-def _sum(column: str) -> Column:
-    return F.sum(column).cast("bigint").alias(column)
+def _with_weather(star: Star, fact: DataFrame) -> DataFrame:
+    return fact.join(star.weather.select(*DAY_KEY, "conditions"), DAY_KEY)
 
 
-def _weather_word(star: Star) -> DataFrame:
-    return star.weather.select(*DAY_KEY, "conditions")
-
-
-def _per_day(fact: DataFrame, *more: str) -> DataFrame:
-    """Severity sum and accident count per country and day (and more keys)."""
-    return fact.groupBy(*DAY_KEY, *more).agg(
-        F.sum("indice_gravite").alias("_sum"), F.count(F.lit(1)).alias("_n")
-    )
+def _with_country(star: Star, df: DataFrame) -> DataFrame:
+    return df.join(star.country.select("id_pays", "nom_pays"), "id_pays")
 
 
 def _severity(out: str = "gravite_moyenne") -> Column:
-    return mean2(F.sum("_sum"), F.sum("_n")).alias(out)
+    return mean2(F.sum("indice_gravite"), F.count("indice_gravite")).alias(out)
 
 
 def _count(out: str) -> Column:
-    return F.sum("_n").cast("bigint").alias(out)
+    return F.count(F.lit(1)).alias(out)
 
 
 def victims_by_weather(star: Star) -> DataFrame:
-    daily = star.fact.groupBy(*DAY_KEY).agg(F.sum("nb_victimes_total").alias("_v"))
-    return (
-        daily.join(_weather_word(star), DAY_KEY)
-        .groupBy("conditions")
-        .agg(F.sum("_v").cast("bigint").alias("nb_victimes_meteo"))
-    )
+    victims = F.sum("nb_victimes_total").cast("bigint").alias("nb_victimes_meteo")
+    return _with_weather(star, star.fact).groupBy("conditions").agg(victims)
 
 
 def top_days(star: Star, size: int = 10) -> DataFrame:
     return (
-        _per_day(star.fact)
-        .join(_weather_word(star), DAY_KEY)
+        _with_weather(star, star.fact)
         .groupBy("date", "conditions")
         .agg(_count("nb_accident"))
         .orderBy(F.desc("nb_accident"), "date", "conditions")
@@ -93,7 +83,7 @@ def severity_by_place_top10(star: Star, size: int = 10) -> DataFrame:
 
 def severity_by_place_weather(star: Star) -> DataFrame:
     sums = (
-        star.fact.join(_weather_word(star), DAY_KEY)
+        _with_weather(star, star.fact)
         .groupBy("id_pays", "id_lieu", "conditions")
         .agg(F.sum("indice_gravite").alias("gravite"))
     )
@@ -106,22 +96,20 @@ def severity_rank_global(star: Star) -> DataFrame:
 
 def avg_severity_by_weather_country(star: Star) -> DataFrame:
     return (
-        _per_day(star.fact)
-        .join(_weather_word(star), DAY_KEY)
-        .groupBy("id_pays", "conditions")
-        .agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"))
-        .join(star.country.select("id_pays", "nom_pays"), "id_pays")
+        _with_country(star, _with_weather(star, star.fact))
         .groupBy("nom_pays", "conditions")
         .agg(_severity(), _count("nb_accidents"))
         .orderBy("nom_pays", F.col("gravite_moyenne").desc_nulls_last(), "conditions")
     )
 
 
+def _serious(star: Star, min_exclusive: float) -> DataFrame:
+    return star.fact.filter(F.col("indice_gravite") > min_exclusive)
+
+
 def serious_by_weather(star: Star, min_exclusive: float = SERIOUS_ABOVE) -> DataFrame:
-    serious = star.fact.filter(F.col("indice_gravite") > min_exclusive)
     return (
-        _per_day(serious)
-        .join(_weather_word(star), DAY_KEY)
+        _with_weather(star, _serious(star, min_exclusive))
         .groupBy("conditions")
         .agg(_count("nb_accidents_graves"), _severity())
         .orderBy(F.col("gravite_moyenne").desc_nulls_last(), "conditions")
@@ -132,14 +120,9 @@ def serious_by_zone(
     star: Star, min_exclusive: float = SERIOUS_ABOVE, at_least: int = 50, size: int = 20
 ) -> DataFrame:
     """Group by both zone columns, show their first known one."""
-    serious = star.fact.filter(F.col("indice_gravite") > min_exclusive)
-    place = star.place.select("id_lieu", "departement", "district")
-    per_day = _per_day(serious.join(place, "id_lieu"), "departement", "district")
+    serious = _with_country(star, _with_weather(star, _serious(star, min_exclusive)))
     return (
-        per_day.join(_weather_word(star), DAY_KEY)
-        .groupBy("id_pays", "departement", "district", "conditions")
-        .agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"))
-        .join(star.country.select("id_pays", "nom_pays"), "id_pays")
+        serious.join(star.place.select("id_lieu", "departement", "district"), "id_lieu")
         .groupBy("nom_pays", "departement", "district", "conditions")
         .agg(_count("nb_accidents_graves"), _severity())
         .filter(F.col("nb_accidents_graves") >= at_least)
@@ -161,13 +144,12 @@ def _with_sex(star: Star) -> DataFrame:
 
 def accidents_by_sex_severity(star: Star) -> DataFrame:
     """The person is the one the accident points at."""
-    return (
+    counts = (
         _with_sex(star)
         .groupBy("id_pays", "sexe", "indice_gravite")
         .agg(F.count_distinct("id_accident").alias("nb_accidents"))
-        .join(star.country.select("id_pays", "nom_pays"), "id_pays")
-        .select("id_pays", "nom_pays", "sexe", "indice_gravite", "nb_accidents")
     )
+    return _with_country(star, counts).select("id_pays", "nom_pays", "sexe", "indice_gravite", "nb_accidents")
 
 
 def accidents_by_sex_severity_literal(star: Star) -> DataFrame:
@@ -180,31 +162,30 @@ def accidents_by_sex_severity_literal(star: Star) -> DataFrame:
         F.count_distinct("id_accident").alias("nb_accidents")
     )
     sexes = star.person.select("id_pays", "sexe").distinct()
-    return (
-        accidents.join(sexes, "id_pays")
-        .join(star.country.select("id_pays", "nom_pays"), "id_pays")
-        .select("id_pays", "nom_pays", "sexe", "indice_gravite", "nb_accidents")
-    )
+    both = _with_country(star, accidents.join(sexes, "id_pays"))
+    return both.select("id_pays", "nom_pays", "sexe", "indice_gravite", "nb_accidents")
 
 
 def accidents_by_sex_severity_rollup(star: Star) -> DataFrame:
-    """Country, sex and severity band with sub-totals; ``gid`` names the level."""
+    """Country, sex and severity band with sub-totals; ``gid`` names the level.
+
+    Counted to the finest level first, so that the roll-up copies counts only.
+    """
+    keys = ["nom_pays", "sexe", "tranche"]
     grain = (
-        _with_sex(star)
-        .groupBy("id_pays", "sexe", severity_band(F.col("indice_gravite")).alias("tranche"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .join(star.country.select("id_pays", "nom_pays"), "id_pays")
+        _with_country(star, _with_sex(star))
+        .groupBy("nom_pays", "sexe", severity_band(F.col("indice_gravite")).alias("tranche"))
+        .agg(_count("_n"))
     )
-    return grain.rollup("nom_pays", "sexe", "tranche").agg(
-        F.grouping_id().cast("bigint").alias("gid"), _count("nb_accidents")
+    return grain.rollup(*keys).agg(
+        F.grouping_id().cast("bigint").alias("gid"), F.sum("_n").cast("bigint").alias("nb_accidents")
     )
 
 
 def severity_holiday_weather(star: Star) -> DataFrame:
     """Mean severity on holidays and other days, by weather."""
     return (
-        _per_day(star.fact)
-        .join(_weather_word(star), DAY_KEY)
+        _with_weather(star, star.fact)
         .join(star.calendar.select("date", "est_jour_ferie"), "date")
         .groupBy("est_jour_ferie", "conditions")
         .agg(_count("nb_accidents"), _severity())

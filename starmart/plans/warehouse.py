@@ -105,9 +105,6 @@ def build_warehouse(spark: SparkSession, raw: Mapping[str, str], root: str, year
     warehouse.load_dimension("dim_pays", dim_pays(spark))
     warehouse.load_dimension("dim_temps", dim_temps(number_days(calendar_staging(days_of_years(spark, years)))))
     warehouse.load_dimension("dim_meteo", dim_meteo(read_weather(spark, raw["meteo_fr"], raw["meteo_uk"], years)))
-    staging = stage_fr(spark, raw["accidents_fr"]).union(stage_uk(spark, raw["accidents_uk"]))
-    wanted = F.col("annee").isin(years)
-    warehouse.load_accidents(
-        Staging(*[getattr(staging, p).filter(wanted) for p in ("accidents", "places", "people", "vehicles")])
-    )
+    accidents_fr = stage_fr(spark, raw["accidents_fr"], years)
+    warehouse.load_accidents(accidents_fr.union(stage_uk(spark, raw["accidents_uk"], years)))
     return warehouse

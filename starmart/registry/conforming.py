@@ -105,7 +105,7 @@ def dim_country(spark, sf_dir):
 
 
 def _numbered(spark, sf_dir, part, id_col):
-    return dense_ids(getattr(staging(spark, sf_dir), part), id_col, build.ENTITY_ORDER)
+    return build.number_entities(getattr(staging(spark, sf_dir), part), id_col)
 
 
 def dim_place(spark, sf_dir):

@@ -14,11 +14,11 @@ from pyspark.sql import types as T
 
 from starmart.functions.dates import last_year_in_name
 from starmart.functions.scalars import BLANKS, NBSP, clean_strings
+from starmart.plans.star import POSITION
 
 HEAD_BYTES = 8192
 SEPARATORS = [",", ";", "\t", " "]
 CORRUPT = "_corrupt_record"
-POSITION = ["src_file", "src_block", "src_row"]
 
 
 def list_files(spark: SparkSession, root: str | Sequence[str], pattern: str = "*") -> DataFrame:
@@ -167,14 +167,14 @@ def read_delimited(
     )
     unquoted = F.regexp_replace(F.col(CORRUPT), '"[^"]*"', "")
     too_many = _occurrences(unquoted, sep) > len(columns) - 1
-    placed = raw.select(
-        *[F.col(f"`{c}`") for c in columns],
-        CORRUPT,
+    fitting = raw.select(
+        "*",
         F.col("_metadata.file_path").alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
-        F.monotonically_increasing_id().alias("src_row"),
     ).filter(~F.coalesce(too_many, F.lit(False)))
-    cleaned = clean_strings(placed.drop(CORRUPT), skip=["src_file"])
+    # Numbered after the filter: rows kept of one split run up by one.
+    placed = fitting.drop(CORRUPT).withColumn("src_row", F.monotonically_increasing_id())
+    cleaned = clean_strings(placed, skip=["src_file"])
     return cleaned.repartition(spread) if spread else cleaned
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,10 +32,20 @@ def _maybe(columns: list[str], name: str | None) -> Column:
 
 
 def read_kind(
-    spark: SparkSession, root: str, pattern: str, shape: Callable[[Layout], DataFrame]
+    spark: SparkSession,
+    root: str,
+    pattern: str,
+    shape: Callable[[Layout], DataFrame],
+    years: Sequence[int] | None = None,
 ) -> DataFrame:
-    """All files of one kind, each layout shaped on its own, then put together."""
-    described = manifest(list_files(spark, root, pattern))
+    """All files of one kind, each layout shaped on its own, then put together.
+
+    Files of other years are not opened.
+    """
+    files = list_files(spark, root, pattern)
+    if years is not None:
+        files = files.filter(dates.last_year_in_name(F.col("name")).isin(list(years)))
+    described = manifest(files)
     frames = [shape(layout) for layout in read_layouts(spark, described)]
     if not frames:
         raise FileNotFoundError(f"no {pattern} below {root}")
@@ -112,14 +122,14 @@ def fr_vehicles(layout: Layout) -> DataFrame:
     )
 
 
-def stage_fr(spark: SparkSession, root: str) -> Staging:
-    accidents = read_kind(spark, root, "caracteristiques_*.csv", fr_accidents)
-    places = read_kind(spark, root, "lieux_*.csv", fr_places)
+def stage_fr(spark: SparkSession, root: str, years: Sequence[int] | None = None) -> Staging:
+    accidents = read_kind(spark, root, "caracteristiques_*.csv", fr_accidents, years)
+    places = read_kind(spark, root, "lieux_*.csv", fr_places, years)
     return Staging(
         accidents.select("id_pays", "annee", "cle", "date", "pos"),
         fr_located(accidents, places),
-        read_kind(spark, root, "usagers_*.csv", fr_people),
-        read_kind(spark, root, "vehicules_*.csv", fr_vehicles),
+        read_kind(spark, root, "usagers_*.csv", fr_people, years),
+        read_kind(spark, root, "vehicules_*.csv", fr_vehicles, years),
     )
 
 
@@ -194,11 +204,13 @@ def uk_vehicles(layout: Layout) -> DataFrame:
     )
 
 
-def stage_uk(spark: SparkSession, root: str, legacy_speed: bool = False) -> Staging:
+def stage_uk(
+    spark: SparkSession, root: str, years: Sequence[int] | None = None, legacy_speed: bool = False
+) -> Staging:
     prefix = "dft-road-casualty-statistics"
-    collisions = read_kind(spark, root, f"{prefix}-collision-*.csv", uk_collisions)
-    people = read_kind(spark, root, f"{prefix}-casualty-*.csv", uk_people)
-    vehicles = read_kind(spark, root, f"{prefix}-vehicle-*.csv", uk_vehicles)
+    collisions = read_kind(spark, root, f"{prefix}-collision-*.csv", uk_collisions, years)
+    people = read_kind(spark, root, f"{prefix}-casualty-*.csv", uk_people, years)
+    vehicles = read_kind(spark, root, f"{prefix}-vehicle-*.csv", uk_vehicles, years)
     return Staging(
         collisions.select("id_pays", "annee", "cle", "date", "pos"),
         uk_located(collisions, legacy_speed),

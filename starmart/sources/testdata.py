@@ -1,8 +1,8 @@
 """The bundled test tables seen as a star, and as staged source files.
 
 Orders play the accidents, line items the people involved, customers the places,
-parts the vehicles and regions the countries.  Everything is derived lazily, so
-column pruning reaches the Parquet scans of the base tables.
+parts the vehicles and regions the countries.  All but the weather is derived
+lazily, so column pruning reaches the Parquet scans of the base tables.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from starmart.functions.scalars import severity_index, victims, weather_label
 from starmart.operators.keys import natural_key
 from starmart.plans.calendar import calendar_staging, days_spanned, dim_temps, number_days
 from starmart.plans.star import Staging
+from starmart.sources.scratch import stored
 
 PERSON_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -89,7 +90,11 @@ class TestStar:
 
     @cached_property
     def weather(self) -> DataFrame:
-        """One row per (region of the supplier, shipping day)."""
+        """One row per (region of the supplier, shipping day), stored like the real dimension.
+
+        Stored, its size is known when a question is planned, and the facts need
+        no shuffle to meet it.
+        """
         supplier = self.table("supplier").select("s_suppkey", "s_nationkey")
         where = supplier.join(self.nations(), F.col("s_nationkey") == F.col("n_nationkey")).select(
             "s_suppkey", "id_pays"
@@ -119,7 +124,7 @@ class TestStar:
             (F.lit(10.0) * F.col("t") / F.col("n") - F.lit(1.0)).alias("vent"),
         )
         label = weather_label(F.col("precipitations"), F.col("vent"), F.col("temp_max"))
-        return measured.withColumn("conditions", label)
+        return stored(measured.withColumn("conditions", label), "weather")
 
     @cached_property
     def person(self) -> DataFrame:

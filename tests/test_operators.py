@@ -58,6 +58,18 @@ def test_ids_are_dense_ordered_and_repeatable(hot):
         assert {r["id"]: r["key"] - 100 for r in got.collect()} == want
 
 
+def test_block_numbering_equals_sorting(hot):
+    """Rows numbered inside their blocks get the ids a full sort would give; gaps send it there."""
+    from starmart.sources.scratch import stored
+
+    rows_in = hot.select("id", F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("row"))
+    kept = stored(rows_in, "test")
+    got = keys.block_ids(kept, "key", ["block"], "row", start=11)
+    assert rows(got, "key", "id") == rows(keys.dense_ids(kept, "key", ["block", "row"], start=11), "key", "id")
+    assert sorted(r["key"] for r in got.collect()) == list(range(11, 6011))
+    assert keys.block_ids(kept.filter("id % 7 != 3"), "key", ["block"], "row") is None
+
+
 def test_hot_value_spreads_over_ranges(hot):
     """The position in the ordering lets one value span several ranges."""
     ranged = hot.repartitionByRange(6, "value", "id").groupBy(F.spark_partition_id().alias("p"))
