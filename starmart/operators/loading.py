@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.operators.checks import duplicate_keys
 from starmart.operators.keys import keep_first
 from starmart.sources.scratch import stored
 
@@ -50,9 +51,10 @@ def _greedy_insert(
 ) -> DataFrame:
     """Several unique keys: a row is refused only by a row that was itself accepted.
 
-    Each round accepts the rows that come first under all their keys and drops
-    the rows those collide with.  At least the first remaining row is accepted
-    per round, so it ends; ordinary data needs one or two rounds.
+    When no two remaining rows collide all are accepted, which is the ordinary
+    case.  Otherwise a round accepts the rows that come first under all their
+    keys and drops the rows those collide with; the first remaining row always
+    is among the accepted, so it ends.
     """
     left = batch
     for keys in unique_keys:
@@ -61,6 +63,8 @@ def _greedy_insert(
     accepted = left.limit(0)
     place = F.struct(*order_by)
     while not left.isEmpty():
+        if all(duplicate_keys(left, keys).isEmpty() for keys in unique_keys):
+            return accepted.unionByName(left)
         winners = left
         for keys in unique_keys:
             firsts = left.na.drop(subset=list(keys)).groupBy(*keys).agg(F.min(place).alias("_first"))

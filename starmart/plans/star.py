@@ -62,18 +62,17 @@ class KeyedStaging:
 def number_entities(df: DataFrame, id_col: str, start: int = 1) -> DataFrame:
     """Key one entity table in source order.
 
-    It is stored first, so that the sources are parsed once.  Rows as read from
-    files are numbered where they are; others are sorted into key order.
+    Rows as read from files are stored, so that the files are parsed once, and
+    numbered where they are; others are sorted into key order.
     """
-    kept = stored(df, "staged")
-    numbered = None
-    if kept.schema["pos"].dataType.fieldNames() == POSITION:
-        flat = kept.select("*", "pos.*")
+    if df.schema["pos"].dataType.fieldNames() == POSITION:
+        df = stored(df, "staged")
         block = ["id_pays", "annee", *POSITION[:-1]]
+        flat = df.select("*", "pos.*")
         numbered = block_ids(flat, id_col, block, POSITION[-1], start, ["pos", *POSITION])
-    if numbered is None:
-        numbered = dense_ids(kept, id_col, ENTITY_ORDER, start, drop=["pos"])
-    return numbered
+        if numbered is not None:
+            return numbered
+    return dense_ids(df, id_col, ENTITY_ORDER, start, drop=["pos"])
 
 
 def assign_keys(staging: Staging, starts: Mapping[str, int] | None = None) -> KeyedStaging:
