@@ -79,16 +79,14 @@ def enlarged(warehouse: Warehouse, copies: int) -> Warehouse:
     """The same star with every accident repeated under new keys."""
     spark = warehouse.spark
     big = Warehouse(spark, scratch_path(spark, "bench-big"))
-    ids = {**ID_OF}
-    steps = {c: (warehouse.read(t).agg(F.max(c)).first()[0] or 0) for t, c in ids.items()}
+    steps = {c: (warehouse.read(t).agg(F.max(c)).first()[0] or 0) for t, c in ID_OF.items()}
     for table in ("dim_pays", "dim_temps", "dim_meteo"):
         warehouse.read(table).write.parquet(big.path(table))
-    for table in ids:
+    for table in ID_OF:
         df = warehouse.read(table)
-        # Copies at random within the files, as separate yearly loads would not sort them either.
         copied = df.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
         moved = {c: F.col(c) + F.col("_copy") * F.lit(step) for c, step in steps.items() if c in df.columns}
-        copied.withColumns(moved).drop("_copy").write.parquet(big.path(table))
+        big.append(table, copied.withColumns(moved).drop("_copy"))
     return big
 
 

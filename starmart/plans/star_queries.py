@@ -1,10 +1,10 @@
 """The analytical questions over a star of DataFrames.
 
-Each function takes the star's tables.  Country, calendar and weather are stored
-tables of at most one row per country and day; Spark reads their size from the
-files, broadcasts them while they are small and falls back to a shuffled join
-when they are not, so no hint is given here.  Place, person and vehicle grow with
-the facts and are joined by shuffle as soon as they pass the same limit.
+Each function takes the star's tables.  Country, calendar and weather have at most
+one row per country and day: the warehouse marks them for broadcast after counting
+them, and a larger one is joined by shuffle.  Place, person and vehicle grow with
+the facts; no hint is given for them, so Spark shuffles them by key, splits skewed
+keys, and broadcasts them only when their measured size is below its limit.
 """
 
 from __future__ import annotations
@@ -192,6 +192,17 @@ def severity_holiday_weather(star: Star) -> DataFrame:
     )
 
 
+def severity_holiday_by_country(star: Star, holidays: DataFrame) -> DataFrame:
+    """The same, an accident being judged by the holidays (id_pays, date) of its own country."""
+    own = holidays.select(*DAY_KEY, F.lit(True).alias("est_jour_ferie"))
+    return (
+        _with_weather(star, star.fact)
+        .join(own, DAY_KEY, "left")
+        .groupBy(F.coalesce("est_jour_ferie", F.lit(False)).alias("est_jour_ferie"), "conditions")
+        .agg(_count("nb_accidents"), _severity())
+    )
+
+
 def severity_bands(star: Star) -> DataFrame:
     return star.fact.groupBy(severity_band(F.col("indice_gravite")).alias("tranche")).agg(
         F.count(F.lit(1)).alias("nb_accidents")

@@ -21,6 +21,11 @@ from starmart.schemas import LOAD_ORDER, RULES, TABLES
 from starmart.sources.raw_accidents import stage_fr, stage_uk
 from starmart.sources.raw_weather import read_weather
 
+# About 50 MB of the few columns a question takes from a dimension.
+BROADCAST_ROWS = 500_000
+
+FACT_LAYOUT = ["id_pays", "annee"]
+
 ID_OF = {
     "fait_accident": "id_accident",
     "dim_localisation": "id_lieu",
@@ -40,21 +45,41 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def read(self, table: str) -> DataFrame:
-        schema = TABLES.get(table)
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(self.path(table))
+        if table not in TABLES:
+            return self.spark.read.parquet(self.path(table))
+        df = self.spark.read.schema(TABLES[table]).parquet(self.path(table))
+        return df.select(*TABLES[table].fieldNames())
+
+    def append(self, table: str, rows: DataFrame) -> None:
+        """Add rows in the table's layout.
+
+        The fact is stored by country and year, so that country policies and
+        year filters read only their folders.  The rebalance gives each folder
+        few files, and a country that holds most rows several of them.
+        """
+        if table == "fait_accident":
+            rows = rows.withColumn("annee", F.year("date")).hint("rebalance", *FACT_LAYOUT)
+            rows.write.mode("append").partitionBy(*FACT_LAYOUT).parquet(self.path(table))
+        else:
+            rows.write.mode("append").parquet(self.path(table))
 
     def has(self, table: str) -> bool:
         like = self.spark.createDataFrame([], T.StructType([]))
         return read_if_present(like, self.path(table)) is not None
 
+    def broadcast_if_small(self, table: str) -> DataFrame:
+        """Marked for broadcast only when counted small; the count reads file footers."""
+        df = self.read(table)
+        return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
     def star(self) -> Star:
+        """Country, calendar and weather have a row per country and day at most."""
         return Star(
             fact=self.read("fait_accident"),
-            country=self.read("dim_pays"),
-            calendar=self.read("dim_temps"),
+            country=self.broadcast_if_small("dim_pays"),
+            calendar=self.broadcast_if_small("dim_temps"),
             place=self.read("dim_localisation"),
-            weather=self.read("dim_meteo"),
+            weather=self.broadcast_if_small("dim_meteo"),
             person=self.read("dim_usager"),
             vehicle=self.read("dim_vehicule"),
         )
@@ -83,7 +108,7 @@ class Warehouse:
             starts["id_accident"] = next_id(known, "id_accident")
         tables = build_tables(assign_keys(staging, starts))
         for name in [*(t for t in LOAD_ORDER if t in tables), "cle_accident"]:
-            tables[name].write.mode("append").parquet(self.path(name))
+            self.append(name, tables[name])
 
     def check(self) -> DataFrame:
         """Broken unique, foreign-key and width rules of every table."""

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from starmart.plans import star_queries as q
+from starmart.plans.calendar import holidays
 from starmart.registry.sql import (
     CALENDAR_PARTS,
     COUNTRY_PARTS,
     FACT_PARTS,
+    HOLIDAY_PARTS,
     PERSON_PARTS,
     PLACE_PARTS,
     WEATHER_PARTS,
@@ -41,6 +45,19 @@ QUERIES = {
     ]
 }
 
+
+
+def severity_holiday_by_country(spark, sf_dir):
+    """The first two countries keep French holidays, the others British ones."""
+    data = star(spark, sf_dir)
+    free = holidays(data.calendar.select("annee"))
+    followed = F.when(F.col("id_pays") <= 1, "FR").otherwise("UK").alias("country")
+    own = data.country.select("id_pays", followed).join(free, "country").select("id_pays", "date")
+    return q.severity_holiday_by_country(data, own)
+
+
+QUERIES["severity_holiday_by_country"] = severity_holiday_by_country
+
 BAND = """CASE WHEN indice_gravite >= 10 THEN '10+' WHEN indice_gravite >= 4 THEN '4-9'
                WHEN indice_gravite >= 1 THEN '1-3' ELSE '0' END"""
 
@@ -142,6 +159,15 @@ ORACLES = {
                   FROM fact JOIN weather USING (id_pays, date) JOIN calendar USING (date)
                   GROUP BY est_jour_ferie, conditions""",
     ),
+    "severity_holiday_by_country": with_parts(
+        FACT_PARTS,
+        WEATHER_PARTS,
+        HOLIDAY_PARTS,
+        query=f"""SELECT EXISTS (SELECT 1 FROM holiday h WHERE h.date = fact.date
+                                 AND h.country = CASE WHEN fact.id_pays <= 1 THEN 'FR' ELSE 'UK' END) AS est_jour_ferie,
+                         conditions, count(*) AS nb_accidents, {MEAN} AS gravite_moyenne
+                  FROM fact JOIN weather USING (id_pays, date) GROUP BY 1, 2""",
+    ),
     "severity_bands": with_parts(
         FACT_PARTS,
         query=f"SELECT {BAND} AS tranche, count(*) AS nb_accidents FROM fact GROUP BY 1",

@@ -12,7 +12,12 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A shuffled join hashes one side instead of sorting both when every measured
     # partition of that side is below this size; larger ones stay sort-merge.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
+    # Spark heeds it only if it is not below the advisory partition size.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # File sizes understate tables whose columns encode well: a 10 MB file can be 150 MB
+    # in memory.  Estimating ten times the file keeps such tables out of broadcasts.
+    "spark.sql.sources.fileCompressionFactor": "10",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
