@@ -12,6 +12,10 @@ from starmart.operators.keys import keep_first
 from starmart.sources.scratch import stored
 
 
+# A batch of this many rows may have its keys broadcast (about 50 MB).
+SMALL_BATCH = 500_000
+
+
 def not_in_target(batch: DataFrame, target: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """Batch rows whose key the target lacks; a null in the key never collides."""
     if target is None:
@@ -19,9 +23,22 @@ def not_in_target(batch: DataFrame, target: DataFrame | None, keys: Sequence[str
     return batch.join(target.select(*keys), list(keys), "left_anti").select(*batch.columns)
 
 
+def _only_in_batch(target: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The target's keys that a stored batch has as well, if the batch is counted small.
+
+    Its keys are broadcast, so a big target is scanned but not shuffled.  For a
+    larger batch the target comes back whole and meets it in a shuffled join.
+    """
+    if target is None or batch.count() > SMALL_BATCH:
+        return target
+    wanted = F.broadcast(batch.select(*keys).na.drop())
+    return target.select(*keys).join(wanted, list(keys), "left_semi")
+
+
 def new_records(batch: DataFrame, known: DataFrame, natural_key: Sequence[str]) -> DataFrame:
     """Batch records whose natural key is not stored yet, duplicates included."""
-    return not_in_target(batch, known, natural_key)
+    batch = stored(batch, "batch")
+    return not_in_target(batch, _only_in_batch(known, batch, natural_key), natural_key)
 
 
 def rows_to_insert(
@@ -39,7 +56,7 @@ def rows_to_insert(
         # One key: the first row of each key wins.  De-duplicating before the
         # anti join leaves one row per key to shuffle, whatever the repeats.
         firsts = keep_first(batch, unique_keys[0], order_by)
-        return not_in_target(firsts, target, unique_keys[0])
+        return firsts if target is None else new_records(firsts, target, unique_keys[0])
     return _greedy_insert(batch, target, unique_keys, order_by)
 
 
@@ -56,9 +73,10 @@ def _greedy_insert(
     keys and drops the rows those collide with; the first remaining row always
     is among the accepted, so it ends.
     """
+    batch = stored(batch, "batch")
     left = batch
     for keys in unique_keys:
-        left = not_in_target(left, target, keys)
+        left = not_in_target(left, _only_in_batch(target, batch, keys), keys)
     left = stored(left, "insert-left")
     accepted = left.limit(0)
     place = F.struct(*order_by)

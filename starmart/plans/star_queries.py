@@ -48,16 +48,40 @@ def _count(out: str) -> Column:
     return F.count(F.lit(1)).alias(out)
 
 
+def _daily(star: Star, fact: DataFrame) -> DataFrame:
+    """Accidents, victims and severity per country and day, with the day's weather.
+
+    A day's accidents share their weather, so the fact is reduced before it meets
+    the weather table: a few hundred rows leave each task, and neither side of the
+    join is large or skewed.
+    """
+    days = fact.groupBy(*DAY_KEY).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("nb_victimes_total").alias("_victims"),
+        F.sum("indice_gravite").alias("_sum"),
+        F.count("indice_gravite").alias("_cnt"),
+    )
+    return _with_weather(star, days)
+
+
+def _daily_severity(out: str = "gravite_moyenne") -> Column:
+    return mean2(F.sum("_sum"), F.sum("_cnt")).alias(out)
+
+
+def _daily_count(out: str) -> Column:
+    return F.sum("_n").cast("bigint").alias(out)
+
+
 def victims_by_weather(star: Star) -> DataFrame:
-    victims = F.sum("nb_victimes_total").cast("bigint").alias("nb_victimes_meteo")
-    return _with_weather(star, star.fact).groupBy("conditions").agg(victims)
+    victims = F.sum("_victims").cast("bigint").alias("nb_victimes_meteo")
+    return _daily(star, star.fact).groupBy("conditions").agg(victims)
 
 
 def top_days(star: Star, size: int = 10) -> DataFrame:
     return (
-        _with_weather(star, star.fact)
+        _daily(star, star.fact)
         .groupBy("date", "conditions")
-        .agg(_count("nb_accident"))
+        .agg(_daily_count("nb_accident"))
         .orderBy(F.desc("nb_accident"), "date", "conditions")
         .limit(size)
     )
@@ -96,9 +120,9 @@ def severity_rank_global(star: Star) -> DataFrame:
 
 def avg_severity_by_weather_country(star: Star) -> DataFrame:
     return (
-        _with_country(star, _with_weather(star, star.fact))
+        _with_country(star, _daily(star, star.fact))
         .groupBy("nom_pays", "conditions")
-        .agg(_severity(), _count("nb_accidents"))
+        .agg(_daily_severity(), _daily_count("nb_accidents"))
         .orderBy("nom_pays", F.col("gravite_moyenne").desc_nulls_last(), "conditions")
     )
 
@@ -109,9 +133,9 @@ def _serious(star: Star, min_exclusive: float) -> DataFrame:
 
 def serious_by_weather(star: Star, min_exclusive: float = SERIOUS_ABOVE) -> DataFrame:
     return (
-        _with_weather(star, _serious(star, min_exclusive))
+        _daily(star, _serious(star, min_exclusive))
         .groupBy("conditions")
-        .agg(_count("nb_accidents_graves"), _severity())
+        .agg(_daily_count("nb_accidents_graves"), _daily_severity())
         .orderBy(F.col("gravite_moyenne").desc_nulls_last(), "conditions")
     )
 
@@ -185,10 +209,10 @@ def accidents_by_sex_severity_rollup(star: Star) -> DataFrame:
 def severity_holiday_weather(star: Star) -> DataFrame:
     """Mean severity on holidays and other days, by weather."""
     return (
-        _with_weather(star, star.fact)
+        _daily(star, star.fact)
         .join(star.calendar.select("date", "est_jour_ferie"), "date")
         .groupBy("est_jour_ferie", "conditions")
-        .agg(_count("nb_accidents"), _severity())
+        .agg(_daily_count("nb_accidents"), _daily_severity())
     )
 
 
@@ -196,10 +220,10 @@ def severity_holiday_by_country(star: Star, holidays: DataFrame) -> DataFrame:
     """The same, an accident being judged by the holidays (id_pays, date) of its own country."""
     own = holidays.select(*DAY_KEY, F.lit(True).alias("est_jour_ferie"))
     return (
-        _with_weather(star, star.fact)
+        _daily(star, star.fact)
         .join(own, DAY_KEY, "left")
         .groupBy(F.coalesce("est_jour_ferie", F.lit(False)).alias("est_jour_ferie"), "conditions")
-        .agg(_count("nb_accidents"), _severity())
+        .agg(_daily_count("nb_accidents"), _daily_severity())
     )
 
 

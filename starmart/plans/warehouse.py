@@ -20,6 +20,7 @@ from starmart.plans.weather import dim_meteo
 from starmart.schemas import LOAD_ORDER, RULES, TABLES
 from starmart.sources.raw_accidents import stage_fr, stage_uk
 from starmart.sources.raw_weather import read_weather
+from starmart.sources.scratch import stored
 
 # About 50 MB of the few columns a question takes from a dimension.
 BROADCAST_ROWS = 500_000
@@ -98,11 +99,14 @@ class Warehouse:
         starts = None
         if self.has("cle_accident"):
             known = self.read("cle_accident")
+            accidents = stored(new_records(staging.accidents, known, ENTITY_KEY), "new-accidents")
+            fresh = accidents.select(*ENTITY_KEY).distinct()
             staging = Staging(
+                accidents,
                 *[
-                    new_records(getattr(staging, part), known, ENTITY_KEY)
-                    for part in ("accidents", "places", "people", "vehicles")
-                ]
+                    getattr(staging, part).join(fresh, ENTITY_KEY, "left_semi")
+                    for part in ("places", "people", "vehicles")
+                ],
             )
             starts = {id_col: next_id(self.read(table), id_col) for table, id_col in ID_OF.items()}
             starts["id_accident"] = next_id(known, "id_accident")
