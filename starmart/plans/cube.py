@@ -44,14 +44,18 @@ BY_WEATHER = KEYS.index("conditions") + 1
 
 
 def cube_detail(star: Star) -> DataFrame:
-    """Fact rows with every cube key; the vehicle table only confirms existence."""
+    """Fact rows with every cube key; the vehicle table only confirms existence.
+
+    The tables that need a shuffle come first, while the rows are narrow; the
+    labels of the small ones are added where the rows then are.
+    """
     return (
-        star.fact.join(star.country.select("id_pays", "nom_pays"), "id_pays")
-        .join(star.calendar.select("date", "annee", "saison", "est_weekend", "est_jour_ferie"), "date")
-        .join(star.weather.select(*DAY_KEY, "conditions", "temp_min", "temp_max"), DAY_KEY)
-        .join(star.vehicle.select("id_vehicule"), "id_vehicule", "left_semi")
+        star.fact.join(star.vehicle.select("id_vehicule"), "id_vehicule", "left_semi")
         .join(star.person.select("id_usager", "sexe", "cat_usager"), "id_usager")
         .join(star.place.select("id_lieu", "departement", "district", "type_route"), "id_lieu")
+        .join(star.country.select("id_pays", "nom_pays"), "id_pays")
+        .join(star.calendar.select("date", "annee", "saison", "est_weekend", "est_jour_ferie"), "date")
+        .join(star.weather.select(*DAY_KEY, "conditions", "temp_min", "temp_max"), DAY_KEY)
     )
 
 

@@ -143,10 +143,15 @@ def serious_by_weather(star: Star, min_exclusive: float = SERIOUS_ABOVE) -> Data
 def serious_by_zone(
     star: Star, min_exclusive: float = SERIOUS_ABOVE, at_least: int = 50, size: int = 20
 ) -> DataFrame:
-    """Group by both zone columns, show their first known one."""
-    serious = _with_country(star, _with_weather(star, _serious(star, min_exclusive)))
+    """Group by both zone columns, show their first known one.
+
+    The place join comes first: it is the one that shuffles, and the rows are
+    still without labels there.
+    """
+    place = star.place.select("id_lieu", "departement", "district")
+    placed = _serious(star, min_exclusive).join(place, "id_lieu")
     return (
-        serious.join(star.place.select("id_lieu", "departement", "district"), "id_lieu")
+        _with_country(star, _with_weather(star, placed))
         .groupBy("nom_pays", "departement", "district", "conditions")
         .agg(_count("nb_accidents_graves"), _severity())
         .filter(F.col("nb_accidents_graves") >= at_least)

@@ -9,6 +9,7 @@ from starmart.functions.scalars import weather_label
 from starmart.operators.keys import dense_ids, keep_first
 from starmart.operators.ordered import exact_median
 from starmart.schemas import TABLES
+from starmart.sources.scratch import stored
 
 MEASURES = ["temp_min", "temp_max", "precipitations", "vent"]
 
@@ -38,8 +39,12 @@ def filled(daily: DataFrame) -> DataFrame:
 
 
 def dim_meteo(readings: DataFrame, start: int = 1) -> DataFrame:
-    """Readings (fichier, id_pays, date, measures) to one numbered row per country and day."""
-    daily = filled(with_label(daily_means(readings)))
+    """Readings (fichier, id_pays, date, measures) to one numbered row per country and day.
+
+    The daily means are stored: the median and the table both need them, and the
+    readings are parsed once.
+    """
+    daily = filled(with_label(stored(daily_means(readings), "daily")))
     one = keep_first(daily, ["id_pays", "date"], ["fichier"])
     numbered = dense_ids(one, "id_meteo", ["id_pays", "date"], start)
     return numbered.select(*[F.col(f.name).cast(f.dataType) for f in TABLES["dim_meteo"].fields])
