@@ -25,6 +25,33 @@ def fold(doc_id: Column | str, folds: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary") if isinstance(doc_id, str) else doc_id) % folds
 
 
+LONGEST_REMEMBERED = 80
+
+
+class Remembered(dict):
+    """Values of a function, computed once while they are in use.
+
+    When ``most`` values are held they become the older half, in which values are still found
+    and from which those that are used move over; the half before is dropped.  So the
+    memory is bounded and common keys stay.  Long keys are not held.
+    """
+
+    def __init__(self, function: Callable, most: int) -> None:
+        super().__init__()
+        self.function, self.most, self.older = function, most, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.function(key)
+        if len(key) <= LONGEST_REMEMBERED:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 def per_row(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], Iterator[dict | None] | dict]) -> DataFrame:
     """``mapInArrow`` with a function from one batch to a dict of columns.
 

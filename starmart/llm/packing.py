@@ -16,12 +16,11 @@ often as they stand there; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import json
 import math
 import os
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,74 +28,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import per_row, text_or_empty
+from starmart.llm.token_counts import byte_symbols
 
 CAPACITY = 1024
 END_ID = 0
 GROUP_PIECES = 65_536
 
-REMEMBERED = 250_000
-REMEMBERED_CHARS = 80
-SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 IDS = np.dtype("<u4")
 
 
-class Encoder:
-    """Ids of the ``tokenizers`` library as little-endian bytes; words met before are looked up."""
+def ranked(made: dict) -> Callable[[str], np.ndarray] | None:
+    """``tiktoken`` with the ranks of a vocabulary that ``tokenizers`` wrote.
 
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-
-    def spans(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=IDS).tobytes() for e in found]
-
-    def batch(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text.
-
-        A blank between two characters that are no white space always starts a new piece,
-        so the words between such blanks can be encoded apart.
-        """
-        cut = [t.split(" ") for t in texts]
-        known = self.words
-        if len(known) >= REMEMBERED:
-            known.clear()
-        new = {w for words in cut for w in words[1:] if w not in known and safe(w)}
-        for some in batched(sorted(new), 20_000):
-            known.update(zip(some, self.spans([" " + w for w in some]), strict=True))
-        heads = self.spans([words[0] for words in cut])
-        for text, head_ids, (head, *words) in zip(texts, heads, cut, strict=True):
-            if not text:
-                yield b""
-                continue
-            ids = list(map(known.get, words)) if not words or (head and not head[-1].isspace()) else [None]
-            if None in ids:
-                first, *rest = SAFE_BLANK.split(text)
-                yield b"".join(self.spans([first, *(" " + x for x in rest)]))
-            else:
-                yield b"".join(chain([head_ids], ids))
-        if len(known) > REMEMBERED:
-            known.clear()
-        else:
-            for w in [w for w in new if len(w) > REMEMBERED_CHARS]:
-                known.pop(w, None)
-
-
-def safe(word: str) -> bool:
-    return bool(word) and not word[0].isspace() and not word[-1].isspace()
-
-
-def batched(items: list, n: int) -> Iterator[list]:
-    return (items[i : i + n] for i in range(0, len(items), n))
+    It finds the same ids several times faster if the vocabulary is byte-level, has no
+    normalizer and its ids rise with the ranks of its merges.  None for any other.
+    """
+    import public_tokenizers
+    import tiktoken
+
+    model, split, added = made["model"], made["pre_tokenizer"] or {}, made["added_tokens"]
+    if model["type"] != "BPE" or made["normalizer"] or split.get("type") != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"]:
+        return None
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
+        return None
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    ids = [model["vocab"].get(a + b, -1) for a, b in merges]
+    if any(a >= b for a, b in zip(ids, ids[1:], strict=False)):
+        return None
+    byte = {c: b for b, c in enumerate(byte_symbols())}
+    special = {t["content"]: t["id"] for t in added}
+    ranks = {bytes(byte[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
+    encoding = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    return lambda text: encoding.encode_to_numpy(text, allowed_special="all")
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One for each file and Python worker, without threads of its own."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Encoder(path)
+def encoder(path: str) -> Callable[[str], np.ndarray]:
+    """Ids of a text as the ``tokenizers`` library gives them for a vocabulary file, without
+    begin or end; one for each file and Python worker."""
+    with open(path, encoding="utf-8") as f:
+        found = ranked(json.load(f))
+    if found is None:
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        tokenizer = Tokenizer.from_file(path)
+        return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids)
+    return found
 
 
 def windows(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -121,8 +99,8 @@ def windows(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int =
         def made() -> dict:
             return {"doc_id": doc_ids.take(pa.array(row, type=pa.int64())), "start": start, "length": [len(x) // IDS.itemsize for x in ids], "doc_tokens": total, "ids": ids}
 
-        for i, got in enumerate(encoder(path).batch(texts)):
-            got += end
+        for i, text in enumerate(texts):
+            got = encoder(path)(text).astype(IDS).tobytes() + end
             for at in range(0, len(got), width):
                 row.append(i)
                 start.append(at // IDS.itemsize)

@@ -20,14 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import per_row, text_or_empty
+from starmart.llm.common import Remembered, per_row, text_or_empty
 
-# Entries a worker remembers before it starts anew, and the longest piece it remembers.
-REMEMBERED = 400_000
-REMEMBERED_CHARS = 80
+# Pieces that a worker remembers, twice over.
+REMEMBERED = 500_000
 
-# A blank between two characters that are no white space always starts a new piece.
-SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
+# Texts of these characters, whose classes no edition of Unicode changes, are split by the
+# pattern below just as the library splits them; other texts are split by the library.
+LETTERS, NUMBERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+SETTLED = re.compile(r"[\t\n\r\x20-\x7e\xa1-\u024f]*")
+PIECE = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+")
+PLACE = (1 << 32) - 1
 
 
 def merge_count(symbols: str | list[str], ranks: dict[tuple[str, str], int]) -> int:
@@ -35,31 +38,48 @@ def merge_count(symbols: str | list[str], ranks: dict[tuple[str, str], int]) ->
 
     Of equal ranks the leftmost pair goes first.
     """
-    piece = list(symbols)
+    piece: list[str | None] = list(symbols)
     n = len(piece)
     if n < 2:
         return n
-    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-    heap = [(r, i) for i in range(n - 1) if (r := ranks.get((piece[i], piece[i + 1]))) is not None]
+    rank_of = ranks.get
+    # an entry is a rank and, in its low bits, the place of the pair's left symbol
+    heap = [r << 32 | i for i, pair in enumerate(zip(piece, piece[1:], strict=False)) if (r := rank_of(pair)) is not None]
+    if not heap:
+        return n
     heapq.heapify(heap)
+    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+    push, pop = heapq.heappush, heapq.heappop
     merges = 0
     while heap:
-        rank, i = heapq.heappop(heap)
-        left = piece[i]
-        if left is None or (j := after[i]) >= n or ranks.get((left, piece[j])) != rank:
+        entry = pop(heap)
+        i = entry & PLACE
+        left, j = piece[i], after[i]
+        if left is None or j >= n or rank_of((left, piece[j])) != entry >> 32:
             continue  # one of the two has been merged since
-        piece[i], piece[j] = left + piece[j], None
+        piece[i] = joined = left + piece[j]
+        piece[j] = None
         merges += 1
         after[i] = k = after[j]
         if k < n:
             before[k] = i
-            if (r := ranks.get((piece[i], piece[k]))) is not None:
-                heapq.heappush(heap, (r, i))
-        if (h := before[i]) >= 0 and (r := ranks.get((piece[h], piece[i]))) is not None:
-            heapq.heappush(heap, (r, h))
+            if (r := rank_of((joined, piece[k]))) is not None:
+                push(heap, r << 32 | i)
+        if (h := before[i]) >= 0 and (r := rank_of((piece[h], joined))) is not None:
+            push(heap, r << 32 | h)
     return n - merges
 
 
+def byte_symbols() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies.
+
+    Printable ASCII and Latin-1 stand for themselves, the others are moved above them in order.
+    """
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    moved = iter(range(0x100, 0x200))
+    return [chr(b if b in plain else next(moved)) for b in range(256)]
+
+
 class Counter:
     """Counts tokens as the ``tokenizers`` library would for one vocabulary file."""
 
@@ -68,56 +88,31 @@ class Counter:
 
         with open(path, encoding="utf-8") as f:
             made = json.load(f)
-        if made["model"]["type"] != "BPE" or made["normalizer"] is not None:
-            raise ValueError("only byte-pair vocabularies without a normalizer can be counted by merging")
+        if made["model"]["type"] != "BPE" or made["normalizer"] is not None or made["pre_tokenizer"]["type"] != "ByteLevel":
+            raise ValueError("only byte-level byte-pair vocabularies without a normalizer can be counted by merging")
         merges = (m if isinstance(m, list) else m.split(" ") for m in made["model"]["merges"])
         self.ranks = {(a, b): rank for rank, (a, b) in enumerate(merges)}
         specials = [t["content"] for t in made["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, sorted(specials, key=len, reverse=True)))) if specials else None
         self.split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
-        self.pieces: dict[str, int] = {}  # by a piece's byte symbols
-        self.spans: dict[str, int | None] = {}  # by the characters between two blanks, the first one included
-
-    def piece(self, symbols: str) -> int:
-        count = self.pieces.get(symbols)
-        if count is None:
-            count = merge_count(symbols, self.ranks)
-            if len(symbols) <= REMEMBERED_CHARS:
-                if len(self.pieces) >= REMEMBERED:
-                    self.pieces.clear()
-                self.pieces[symbols] = count
-        return count
-
-    def span(self, text: str) -> int:
-        """Tokens of a text that starts and ends where pieces do."""
-        parts = self.special.split(text) if self.special else [text]
-        return len(parts) - 1 + sum(self.piece(symbols) for part in parts if part for symbols, _ in self.split(part))
-
-    def word(self, word: str) -> int | None:
-        """Tokens of a blank and ``word``; None if its blanks are no safe places to cut."""
-        count = self.span(" " + word) if word and not word[0].isspace() and not word[-1].isspace() else None
-        if len(word) <= REMEMBERED_CHARS:
-            if len(self.spans) >= REMEMBERED:
-                self.spans.clear()
-            self.spans[word] = count
-        return count
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.pieces = Remembered(self._piece, REMEMBERED)
+        self.others = Remembered(lambda symbols: merge_count(symbols, self.ranks), REMEMBERED // 4)
+
+    def _piece(self, piece: str) -> int:
+        return merge_count(piece.encode("utf-8").decode("latin-1").translate(self.symbols), self.ranks)
+
+    def part(self, text: str) -> int:
+        """Tokens of a text without special strings."""
+        if SETTLED.fullmatch(text):
+            return sum(map(self.pieces.__getitem__, PIECE.findall(text)))
+        return sum(self.others[symbols] for symbols, _ in self.split(text))
 
     def count(self, text: str) -> int:
-        if not text:
-            return 0
-        head, *words = text.split(" ")
-        if words and head and not head[-1].isspace():
-            known = self.spans.get
-            total = self.span(head)
-            for w in words:
-                count = known(w)
-                if count is None and (count := self.word(w)) is None:
-                    break
-                total += count
-            else:
-                return total
-        first, *rest = SAFE_BLANK.split(text)
-        return self.span(first) + sum(self.span(" " + x) for x in rest)
+        if self.special is None or not self.special.search(text):
+            return self.part(text) if text else 0
+        parts = self.special.split(text)
+        return len(parts) - 1 + sum(self.part(part) for part in parts if part)
 
 
 @lru_cache(maxsize=4)

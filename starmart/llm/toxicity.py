@@ -31,7 +31,7 @@ from starmart.llm.common import fold, per_row, text_or_empty
 
 POSITIVES, NEGATIVES = 3_000, 6_000
 FEATURES = 4_096
-LEAST_DOCS = 4
+LEAST_DOCS = 3
 LEAST_EVIDENCE = 2.0
 PREFIXES = (4, 5, 6)
 FOLDS, HELD_OUT = 4, 2
