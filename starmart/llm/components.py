@@ -16,9 +16,9 @@ def components(edges: DataFrame) -> DataFrame:
     neighbours, in the second to its smaller ones and itself; both keep the components as
     they are, and stars are left after a number of rounds that grows with the logarithm of
     the longest path.  The least neighbour is a grouped minimum, combined before the
-    shuffle, so a node with very many edges makes no large group; the join after it is one that adaptive
-    execution can split.  Each round is written to the shared scratch folder, which cuts
-    the lineage.
+    shuffle, so a node with very many edges makes no large group; it is written before it is
+    joined, so that the join is one of two plain tables, which adaptive execution can split.
+    Each round is written to the shared scratch folder, which cuts the lineage.
     """
     spark = edges.sparkSession
     with freeing_shuffles(spark):
@@ -39,15 +39,19 @@ def _downward(edges: DataFrame) -> DataFrame:
     return edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def _least(links: DataFrame) -> DataFrame:
+    return stored(links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")), "least")
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's least neighbour or itself."""
-    least = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+    least = _least(links)
     moved = links.join(least, links["b"] == least["node"], "left")
     return moved.select("a", F.coalesce("least", "b").alias("b")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the least of them."""
-    least = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+    least = _least(links)
     others = links.join(least, links["a"] == least["node"]).where(F.col("b") != F.col("least"))
     return least.select(F.col("node").alias("a"), F.col("least").alias("b")).unionByName(others.select(F.col("b").alias("a"), F.col("least").alias("b"))).distinct()

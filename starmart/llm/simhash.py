@@ -87,7 +87,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     prints = rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     roots = components(links(prints.select("fp"), radius))
     grouped = prints.join(roots, prints["fp"] == roots["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    least = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    # written first: a join of two plain tables is one that a large group does not hold up
+    least = stored(grouped.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash-groups")
     named = grouped.select("fp", "root").join(least, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 

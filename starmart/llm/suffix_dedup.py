@@ -15,7 +15,8 @@ windows long, and only runs travel:
    compared by their common extension, found by binary search over prefix polynomial
    hashes.  Neighbours that agree over ``LENGTH`` bytes are verified byte by byte, and so
    is the order; a bucket that a collision misled is sorted anew by its bytes.
-3. A key with many different contents is split: its windows are dealt singly, by their bytes.
+3. A key with many different contents would make a large group.  Its windows are dealt singly, by
+   a 128-bit digest of their bytes, and again all but the first of equal ones are repeats.
 
 A run's content is known by its 64-bit key and a 64-bit hash of another kind, which must
 both agree.
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import freeing_shuffles, per_row, text_or_empty
@@ -192,10 +193,7 @@ class SuffixSort:
         begin = np.cumsum(size) - size
         if not len(order):
             return order, np.zeros(0, dtype=bool)
-        order = self._merged(starts, order, begin, size)
-        pair = np.ones(len(order), dtype=bool)
-        pair[begin] = False
-        return self._verified(starts, order, begin, size, pair)
+        return self._verified(starts, self._merged(starts, order, begin, size), order, begin, size)
 
     def _merged(self, starts: np.ndarray, order: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Bottom-up mergesort of all buckets at once: a suffix's place in a merge is its place
@@ -225,10 +223,15 @@ class SuffixSort:
             width *= 2
         return order
 
-    def _verified(self, starts: np.ndarray, order: np.ndarray, begin: np.ndarray, size: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Compares neighbours by their bytes; a bucket in disorder is sorted by bytes."""
+    def _verified(self, starts: np.ndarray, order: np.ndarray, members: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Compares neighbours by their bytes; a bucket in disorder is sorted by bytes.
+
+        ``members`` has the same buckets before the merges, which lose some if hashes contradict each other.
+        """
+        pair = np.ones(len(order), dtype=bool)
+        pair[begin] = False
         equal = np.zeros(len(order), dtype=bool)
-        wrong = np.zeros(len(order), dtype=bool)
+        wrong = np.bincount(order, minlength=len(starts))[members] != 1
         span = np.arange(self.length)
         for at in range(0, len(order), 50_000):
             rows = np.arange(max(at, 1), min(at + 50_000, len(order)))
@@ -240,16 +243,16 @@ class SuffixSort:
             differ = a != b
             equal[rows] = ~differ.any(axis=1)
             place = differ.argmax(axis=1)[:, None]
-            wrong[rows] = ~equal[rows] & (np.take_along_axis(a, place, 1) > np.take_along_axis(b, place, 1))[:, 0]
+            wrong[rows] |= ~equal[rows] & (np.take_along_axis(a, place, 1) > np.take_along_axis(b, place, 1))[:, 0]
         if wrong.any():
             raw = self.hashed.bytes.tobytes()
             bucket = np.repeat(np.arange(len(size)), size)
             for k in np.unique(bucket[wrong]).tolist():
                 a, b = int(begin[k]), int(begin[k] + size[k])
-                own = sorted(order[a:b].tolist(), key=lambda i: (raw[starts[i] : starts[i] + self.length], i))
+                own = sorted(members[a:b].tolist(), key=lambda i: (raw[starts[i] : starts[i] + self.length], i))
                 order[a:b] = own
                 text = [raw[starts[i] : starts[i] + self.length] for i in own]
-                equal[a + 1 : b] = [x == y for x, y in zip(text, text[1:], strict=False)]
+                equal[a:b] = [False, *(x == y for x, y in zip(text, text[1:], strict=False))]
         return order, equal
 
 
@@ -294,45 +297,46 @@ def _opened(packed: bytes, size: int) -> bytes:
 
 
 def _pieces(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``seg, doc, first, bytes``: the bytes of wanted runs (``key, doc, first, last, hot``).
+    """``key, doc, first, bytes, digest`` of wanted runs (``key, doc, first, last, hot``).
 
-    Runs of a hot key are cut into single windows, whose hash is their group.
+    Runs of a hot key are cut into single windows, which have a digest instead of bytes.
     """
     lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("key", "first", "last", "hot")).alias("wanted"))
     held = _shrunk(docs).join(lists, "doc")
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
+        names = ("key", "doc", "first", "bytes", "digest")
         out: list[tuple] = []
         size = 0
         for doc, n, packed, asked in zip(*(batch.column(c).to_pylist() for c in ("doc", "size", "packed", "wanted")), strict=True):
             raw = _opened(packed, n)
             for w in asked:
-                a, b = w["first"], w["last"]
-                cuts = [(p, p) for p in range(a, b + 1)] if w["hot"] else [(a, b)]
-                for p, q in cuts:
-                    piece = raw[p : q + LENGTH]
-                    out.append((xxhash.xxh3_64_intdigest(piece) - (1 << 63) if w["hot"] else w["key"], doc, p, piece))
-                    size += len(piece)
-                if size > 8_000_000:
-                    yield dict(zip(("seg", "doc", "first", "bytes"), zip(*out, strict=True), strict=True))
-                    out, size = [], 0
+                key, a, b = w["key"], w["first"], w["last"]
+                if w["hot"]:
+                    out += [(key, doc, p, None, xxhash.xxh3_128_digest(raw[p : p + LENGTH])) for p in range(a, b + 1)]
+                else:
+                    out.append((key, doc, a, raw[a : b + LENGTH], None))
+                size += b - a + LENGTH
+            if size > 8_000_000:
+                yield dict(zip(names, zip(*out, strict=True), strict=True))
+                out, size = [], 0
         if out:
-            yield dict(zip(("seg", "doc", "first", "bytes"), zip(*out, strict=True), strict=True))
+            yield dict(zip(names, zip(*out, strict=True), strict=True))
 
-    return per_row(held, "seg long, doc long, first long, bytes binary", rows)
+    return per_row(held, "key long, doc long, first long, bytes binary, digest binary", rows)
 
 
 def _repeated_windows(pieces: DataFrame) -> DataFrame:
-    """``doc, a, b``: spans that a suffix sort finds repeated; a shard of segments is one task's group."""
+    """``doc, a, b``: spans that a suffix sort finds repeated; a shard of keys is one task's group."""
     size = pieces.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
 
     def sort(group: pa.Table) -> pa.Table:
-        found = repeated(list(zip(*(group.column(c).to_pylist() for c in ("seg", "doc", "first", "bytes")), strict=True)))
+        found = repeated(list(zip(*(group.column(c).to_pylist() for c in ("key", "doc", "first", "bytes")), strict=True)))
         doc, a, b = zip(*found, strict=True) if found else ((), (), ())
         return pa.table({"doc": pa.array(doc, type=pa.int64()), "a": pa.array(a, type=pa.int64()), "b": pa.array(b, type=pa.int64())})
 
-    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64("seg"), F.lit(shards)))
+    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
     return dealt.groupBy("_shard").applyInArrow(sort, "doc long, a long, b long")
 
 
@@ -341,19 +345,30 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     with freeing_shuffles(spark):
         every = stored(runs(docs), "runs")
-        # "again" alone, and two contents of one key, ask for a sort
+        # "again" alone, and two contents of one key, ask for a sort.  Grouped results are written
+        # before they are joined: a join of two plain tables is one that a hot key does not hold up.
         keys = every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("again").alias("again"), F.min("content").alias("low"), F.max("content").alias("high"))
-        met = keys.where("n > 1 or again").select("key", (F.col("again") | (F.col("low") != F.col("high"))).alias("sorted"))
+        met = stored(keys.where("n > 1 or again").select("key", (F.col("again") | (F.col("low") != F.col("high"))).alias("sorted")), "shared-keys")
         shared = stored(every.select("key", "content", "doc", "first", "last").join(met, "key"), "shared-runs")
-        firsts = shared.groupBy("key", "content").agg(F.min(F.struct("doc", "first")).alias("earliest"))
-        marked = stored(shared.join(firsts, ["key", "content"]).withColumn("is_first", F.struct("doc", "first") == F.col("earliest")).drop("content", "earliest"), "marked-runs")
-        whole = marked.where(~F.col("is_first")).select("doc", F.col("first").alias("a"), (F.col("last") + LENGTH).alias("b"))
+        firsts = stored(_earliest(shared, "key", "content"), "first-runs")
+        marked = stored(shared.join(firsts, ["key", "content"]).withColumn("is_first", _is_first()).drop("content", "earliest"), "marked-runs")
         left = marked.where(F.col("is_first") & F.col("sorted")).select("key", "doc", "first", "last")
-        hot = left.groupBy("key").count().where(F.col("count") > KEY_CONTENTS).select("key", F.lit(True).alias("hot"))
+        hot = stored(left.groupBy("key").count().where(F.col("count") > KEY_CONTENTS).select("key", F.lit(True).alias("hot")), "hot-keys")
         wanted = left.join(hot, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
         pieces = stored(_pieces(docs, wanted), "pieces")
-        inner = stored(_repeated_windows(pieces), "repeated-windows")
-    return whole.unionByName(inner)
+        inner = stored(_repeated_windows(pieces.where("bytes is not null")), "repeated-windows")
+        single = pieces.where("digest is not null").select("digest", "doc", "first")
+        late = stored(single.join(stored(_earliest(single, "digest"), "first-windows"), "digest").where(~_is_first()), "late-windows")
+    whole = marked.where(~F.col("is_first")).select("doc", F.col("first").alias("a"), (F.col("last") + LENGTH).alias("b"))
+    return whole.unionByName(inner).unionByName(late.select("doc", F.col("first").alias("a"), (F.col("first") + LENGTH).alias("b")))
+
+
+def _is_first() -> Column:
+    return F.struct("doc", "first") == F.col("earliest")
+
+
+def _earliest(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.groupBy(*by).agg(F.min(F.struct("doc", "first")).alias("earliest"))
 
 
 def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -110,7 +110,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_o
     most = F.when(F.col("toxic") == 1, POSITIVES).otherwise(NEGATIVES)
     taken = one.withColumn("_hash", F.xxhash64("doc_id")).withColumn("_turn", turn).where(F.col("_turn") <= most)
     # at most POSITIVES + NEGATIVES rows
-    return docs.where("text is not null").join(F.broadcast(taken.select("doc_id", "toxic")), "doc_id").select("toxic", "text")
+    return docs.where("text is not null").select("doc_id", "text").join(F.broadcast(taken.select("doc_id", "toxic")), "doc_id").select("toxic", "text")
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
