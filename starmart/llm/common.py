@@ -25,6 +25,11 @@ def fold(doc_id: Column | str, folds: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary") if isinstance(doc_id, str) else doc_id) % folds
 
 
+# Bytes of a batch that goes to Python, and rows that are taken out of it at once.
+BATCH_BYTES = "8m"
+BATCH_DEFAULT = 64 << 20
+ROWS_AT_ONCE = 500
+
 LONGEST_REMEMBERED = 80
 
 
@@ -52,23 +57,33 @@ class Remembered(dict):
         return value
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lets a batch for Python hold ``BATCH_BYTES`` in place of Spark's default of 64 MB.
+
+    A task's memory is a multiple of its batch.  Another value that the session has stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name).strip("bB") == str(BATCH_DEFAULT):
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def per_row(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], Iterator[dict | None] | dict]) -> DataFrame:
     """``mapInArrow`` with a function from one batch to a dict of columns.
 
-    Batches hold at most 10,000 rows and 64 MB (Spark's defaults), so a task's memory does
+    Batches are bounded in bytes and ``rows`` gets ``ROWS_AT_ONCE`` of one, so a task's memory does
     not grow with the table.  ``rows`` may return one dict of equally long columns or
     yield several.
     """
+    bounded_batches(df.sparkSession)
     fields = arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            made = rows(batch)
-            for columns in [made] if isinstance(made, dict) else made:
-                arrays = [_array(columns[f.name], f.type) for f in fields]
-                yield pa.RecordBatch.from_arrays(arrays, schema=fields)
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                made = rows(batch.slice(at, ROWS_AT_ONCE))
+                for columns in [made] if isinstance(made, dict) else made:
+                    arrays = [_array(columns[f.name], f.type) for f in fields]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=fields)
 
     return df.mapInArrow(run, schema)
 

@@ -13,7 +13,7 @@ labelled row every text is ``und``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import fold, per_row
+from starmart.llm.common import bounded_batches, fold, per_row
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -181,7 +181,7 @@ class Scorer:
 
     def texts(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """A language and its probability for each text."""
-        cut = [window_bytes(t) if t and LETTER.search(t) and self.network.languages else None for t in texts]
+        cut = (window_bytes(t) if t and LETTER.search(t) and self.network.languages else None for t in texts)
         result = []
         for some in _slices(cut, 4096):
             shares = self.windows(np.concatenate([c for c in some if c is not None] or [np.zeros((0, WINDOW), dtype=np.uint8)]))
@@ -198,7 +198,7 @@ class Scorer:
         return result
 
 
-def _slices(cut: list, most: int) -> Iterator[list]:
+def _slices(cut: Iterable, most: int) -> Iterator[list]:
     """Runs of texts with about ``most`` windows."""
     some, n = [], 0
     for c in cut:
@@ -252,9 +252,12 @@ def identify(docs: DataFrame, network: Network) -> DataFrame:
     """``doc_id, lang_pred, score`` of every row's whole text."""
     kept = docs.select("doc_id", "text")
     kind = kept.schema["doc_id"].dataType.simpleString()
+    scorer: list[Scorer] = []
 
     def rows(batch: pa.RecordBatch) -> dict:
-        found = Scorer(network).texts(batch.column("text").to_pylist())
+        if not scorer:
+            scorer.append(Scorer(network))
+        found = scorer[0].texts(batch.column("text").to_pylist())
         return {"doc_id": batch.column("doc_id"), "lang_pred": [x[0] for x in found], "score": [x[1] for x in found]}
 
     return per_row(kept, f"doc_id {kind}, lang_pred string, score double", rows)
@@ -262,10 +265,13 @@ def identify(docs: DataFrame, network: Network) -> DataFrame:
 
 def accepted(docs: DataFrame, network: Network, least: float) -> DataFrame:
     """The rows whose language is known with a score of ``least`` or more, columns as they were."""
+    bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("boolean")
-    def known(texts: pd.Series) -> pd.Series:
-        found = Scorer(network).texts([t if isinstance(t, str) else None for t in texts])
-        return pd.Series([name != UNKNOWN and score >= least for name, score in found])
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(network)
+        for texts in batches:
+            found = scorer.texts([t if isinstance(t, str) else None for t in texts])
+            yield pd.Series([name != UNKNOWN and score >= least for name, score in found], dtype=bool)
 
     return docs.where(known(F.col("text")))

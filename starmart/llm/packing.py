@@ -107,7 +107,7 @@ def windows(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int =
                 total.append(len(got) // IDS.itemsize)
                 ids.append(got[at : at + width])
             held += len(got)
-            if held > 16_000_000:
+            if held > 4_000_000:
                 yield made()
                 row, start, total, ids, held = [], [], [], [], 0
         if row:

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import per_row, text_or_empty
+from starmart.llm.common import bounded_batches, per_row, text_or_empty
 
 # The patterns of the base scan, in the order of their kinds, and least lengths.
 KINDS = ("assign", "access", "hex")
@@ -291,6 +291,7 @@ def mask(text: str) -> str:
 
 def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with the secrets in ``text`` masked and ``n_chars``, if there, counted anew."""
+    bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("string")
     def without(texts: pd.Series) -> pd.Series:

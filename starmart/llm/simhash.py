@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import per_row, text_or_empty
+from starmart.llm.common import bounded_batches, per_row, text_or_empty
 from starmart.llm.components import components
 from starmart.sources.scratch import stored
 
@@ -103,6 +103,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     That of the least id stays (nulls last); of rows that repeat the id, the one whose text
     has the least digest.
     """
+    bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
     def fp_of(texts: pd.Series) -> pd.Series:
