@@ -106,8 +106,12 @@ def refresh_incremental(stored_grain: DataFrame, new_rows: Star) -> DataFrame:
 
 
 def write_cube(view: DataFrame, path: str) -> None:
-    """Store the view by level, so that a request reads the level it needs only."""
-    view.hint("rebalance", "gid").write.mode("overwrite").partitionBy("gid").parquet(path)
+    """Store the view by level, so that a request reads the level it needs only.
+
+    The whole of an older view goes, also levels that the new one lacks.
+    """
+    writer = view.hint("rebalance", "gid").write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("gid").parquet(path)
 
 
 def _weighted() -> Column:

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +14,6 @@ from starmart.functions.dates import last_year_in_name
 from starmart.functions.scalars import BLANKS, NBSP, clean_strings
 from starmart.plans.star import POSITION
 
-HEAD_BYTES = 8192
 SEPARATORS = [",", ";", "\t", " "]
 CORRUPT = "_corrupt_record"
 
@@ -33,31 +30,6 @@ def list_files(spark: SparkSession, root: str | Sequence[str], pattern: str = "*
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length")
 
 
-def _read_heads(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """First bytes of each file, unpacked when gzipped."""
-    from pyarrow import fs
-
-    for frame in frames:
-        heads = []
-        for path in frame["path"]:
-            # Plain local paths come as file:/x, which the reader wants as file:///x.
-            uri = path if "://" in path else path.replace("file:", "file://", 1)
-            system, inner = fs.FileSystem.from_uri(uri)
-            with system.open_input_stream(inner, compression=None) as stream:
-                head = stream.read(HEAD_BYTES)
-            if path.endswith(".gz"):
-                head = zlib.decompressobj(wbits=31).decompress(head, HEAD_BYTES)
-            heads.append(head)
-        yield frame.assign(head=heads)
-
-
-def with_heads(files: DataFrame) -> DataFrame:
-    """Add the first 8 KB of each file, read by the tasks and not by the driver."""
-    schema = T.StructType([*files.schema.fields, T.StructField("head", T.BinaryType())])
-    tasks = files.sparkSession.sparkContext.defaultParallelism
-    return files.repartition(tasks, "path").mapInPandas(_read_heads, schema)
-
-
 def _occurrences(text: Column, piece: str) -> Column:
     return F.length(text) - F.length(F.translate(text, piece, ""))
 
@@ -67,36 +39,58 @@ def manifest(
 ) -> DataFrame:
     """Per file: encoding, separator, header and the year in its name.
 
-    The encoding is UTF-8 when the head is valid UTF-8 (the last, possibly cut,
-    line left aside), else Latin-1.  The separator is the candidate that occurs
-    most in the header, the earlier one on a tie.
+    Every line of every file is looked at, in one distributed pass.  The encoding is UTF-8
+    when all lines are valid UTF-8, else Latin-1.  The separator is the candidate whose count in
+    the header is the usual count of the file's lines; of several, or if none is, the one
+    that occurs most in the header, the earlier one on a tie.
     """
-    heads = with_heads(files)
-    as_text = F.col("head").cast("string")
-    # Cut at the last line end; a one-line file is taken whole.
-    whole_lines = F.when(
-        as_text.contains("\n"), F.substring_index(as_text, "\n", -1)
-    ).otherwise(F.lit(""))
-    valid = F.is_valid_utf8(
-        F.substring(F.col("head"), F.lit(1), F.octet_length("head") - F.octet_length(whole_lines)).cast("string")
+    spark = files.sparkSession
+    paths = [row["path"] for row in files.select("path").collect()]
+    schema = "path string, name string, length bigint, encoding string, ligne string, sep string, n_sep int, annee int"
+    if not paths:
+        return spark.createDataFrame([], schema)
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id(), "value").alias("line"),
+        "value",
+    )
+    unquoted = F.regexp_replace("value", '"[^"]*"', "")
+    usual = [F.mode(_occurrences(unquoted, s)).alias(f"usual_{i}") for i, s in enumerate(separators)]
+    seen = lines.groupBy("path").agg(
+        F.bool_and(F.is_valid_utf8("value")).alias("valid"), F.min("line")["value"].alias("first"), *usual
     )
-    encoding = F.when(valid, "UTF-8").otherwise("ISO-8859-1")
-    decoded = F.when(valid, as_text).otherwise(F.decode("head", "ISO-8859-1"))
-    first_line = F.btrim(F.substring_index(decoded, "\n", 1), F.lit("\r\n\ufeff"))
-    counted = F.array(
-        *[
-            F.struct(_occurrences(F.col("ligne"), s).alias("n"), F.lit(-i).alias("rang"), F.lit(s).alias("sep"))
-            for i, s in enumerate(separators)
-        ]
+    known = files.select("path", "name", "length").join(seen, "path", "left")
+    decoded = F.when(F.col("valid"), F.col("first")).otherwise(F.decode(F.col("first").cast("binary"), "ISO-8859-1"))
+    line = F.btrim(F.coalesce(decoded, F.lit("")), F.lit("\r\n\ufeff"))
+    counts = [_occurrences(F.col("ligne"), s) for s in separators]
+    best = F.array_max(
+        F.array(
+            *[
+                F.struct(
+                    ((n > 0) & (n == F.col(f"usual_{i}"))).alias("usual"),
+                    n.alias("n"),
+                    F.lit(-i).alias("rang"),
+                    F.lit(s).alias("sep"),
+                )
+                for i, (n, s) in enumerate(zip(counts, separators, strict=True))
+            ]
+        )
     )
-    best = F.array_max(counted)
+    encoding = F.when(F.coalesce("valid", F.lit(True)), "UTF-8").otherwise("ISO-8859-1")
     return (
-        heads.select("path", "name", "length", encoding.alias("encoding"), first_line.alias("ligne"))
+        known.withColumn("encoding", encoding)
+        .withColumn("ligne", line)
         .withColumn("best", best)
-        .withColumn("sep", F.when(F.col("best.n") > 0, F.col("best.sep")).otherwise(default))
-        .withColumn("n_sep", F.col("best.n"))
-        .withColumn("annee", last_year_in_name(F.col("name")))
-        .drop("best")
+        .select(
+            "path",
+            "name",
+            "length",
+            "encoding",
+            "ligne",
+            F.when(F.col("best.n") > 0, F.col("best.sep")).otherwise(default).alias("sep"),
+            F.col("best.n").alias("n_sep"),
+            last_year_in_name(F.col("name")).alias("annee"),
+        )
     )
 
 
@@ -167,11 +161,13 @@ def read_delimited(
     )
     unquoted = F.regexp_replace(F.col(CORRUPT), '"[^"]*"', "")
     too_many = _occurrences(unquoted, sep) > len(columns) - 1
+    # Never true; keeps a data column in the scan, without which the reported line cannot be read.
+    no_line = F.length(F.col(f"`{columns[0]}`")) < 0
     fitting = raw.select(
         "*",
         F.col("_metadata.file_path").alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
-    ).filter(~F.coalesce(too_many, F.lit(False)))
+    ).filter(~F.coalesce(too_many, no_line, F.lit(False)))
     # Numbered after the filter: rows kept of one split run up by one.
     placed = fitting.drop(CORRUPT).withColumn("src_row", F.monotonically_increasing_id())
     cleaned = clean_strings(placed, skip=["src_file"])

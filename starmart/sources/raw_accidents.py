@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from starmart import codebooks
 from starmart.functions import dates, geo, scalars
 from starmart.plans.star import Staging
-from starmart.sources.columns import find_by_words, find_index
+from starmart.sources.columns import find_by_words, find_field
 from starmart.sources.delimited import Layout, list_files, manifest, position, read_layouts
 
 FR, UK = 1, 2
@@ -137,7 +137,7 @@ def stage_fr(spark: SparkSession, root: str, years: Sequence[int] | None = None)
 
 
 def _indexed(layout: Layout) -> Column:
-    name = find_index(layout.columns)
+    name = find_field(layout.columns, "index")
     return F.col(name) if name else _no_text()
 
 

@@ -1,7 +1,8 @@
 """Shared scratch tables, used to cut lineage and to fix one evaluation of a plan.
 
-The folder is the one the cluster names in ``spark.checkpoint.dir``.  Only when
-that is unset (plain local runs) is a fresh temporary folder made.
+The folder is the one the cluster names in ``spark.checkpoint.dir``.  Only a local session
+without it gets a fresh temporary folder; on a cluster that would be another folder on
+every machine, so it is an error there.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
+        if not context.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="starmart-"))
         current = context.getCheckpointDir()
     return current.rstrip("/")

@@ -135,9 +135,9 @@ def test_finding_columns():
     assert columns.find_column(["date"], ["T"]) is None
     assert columns.find_column(names, ["wind"]) == "wind_speed"
     assert columns.find_by_words(names, ["age", "casualty"], ["band"]) == "age_of_casualty"
-    assert columns.find_date(names) == "Date_Obs"
-    assert columns.find_year(["a", "Accident_Year"], "accident_year") == "Accident_Year"
-    assert columns.find_index(["x", "accident_index"]) == "accident_index"
+    assert columns.find_field(names, "date") == "Date_Obs"
+    assert columns.find_field(["a", "Accident_Year"], "year") == "Accident_Year"
+    assert columns.find_field(["x", "accident_index"], "index") == "accident_index"
     with pytest.raises(ValueError):
         columns.find_column(names, ["rain"], required=True)
 
