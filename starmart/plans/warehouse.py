@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from starmart import codebooks
 from starmart.operators.checks import check_table
-from starmart.operators.keys import next_id
+from starmart.operators.keys import dense_ids, next_id
 from starmart.operators.loading import insert_if_absent, new_records, read_if_present
 from starmart.plans.calendar import calendar_staging, days_of_years, dim_temps, number_days
 from starmart.plans.star import ENTITY_KEY, Staging, assign_keys, build_tables, dim_pays
@@ -86,8 +86,19 @@ class Warehouse:
         )
 
     def load_dimension(self, table: str, rows: DataFrame) -> None:
-        """Insert if absent on every unique key of the table."""
+        """Insert if absent on every unique key of the table.
+
+        Days are known by their natural key: those not stored yet get ids above the stored ones,
+        whatever ids the batch came with, and stored days keep theirs.
+        """
         keys = RULES[table].unique
+        if len(keys) > 1 and self.has(table):
+            (id_col,), natural = keys[0], keys[1]
+            known = self.read(table)
+            new = new_records(rows, known, natural).drop(id_col)
+            ids = F.col(id_col).cast(rows.schema[id_col].dataType).alias(id_col)
+            numbered = dense_ids(new, id_col, natural, start=next_id(known, id_col))
+            rows = numbered.select(*[ids if c == id_col else c for c in rows.columns])
         insert_if_absent(rows, self.path(table), keys, keys[0])
 
     def load_accidents(self, staging: Staging) -> None:
