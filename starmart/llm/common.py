@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -25,6 +25,26 @@ def fold(doc_id: Column | str, folds: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary") if isinstance(doc_id, str) else doc_id) % folds
 
 
+def least_hashed(rows: DataFrame, key: str, most: Callable[[object], int]) -> DataFrame:
+    """``key, doc_id``: of each key's distinct ids the ``most(key)`` of least hash, nulls aside.
+
+    Keys are few: they are counted and listed on the driver.  A cut on the hash that twice as many
+    ids are expected to pass comes first, so what is ranked is as small as the sample, even
+    where one key holds most of the rows.
+    """
+    ids = rows.where(F.col(key).isNotNull() & F.col("doc_id").isNotNull()).select(key, "doc_id")
+    counts = {r[0]: r[1] for r in ids.groupBy(key).agg(F.approx_count_distinct("doc_id")).collect()}
+    hashed = F.xxhash64("doc_id")
+    passed, last = F.lit(False), F.lit(0)
+    for value, n in sorted(counts.items()):
+        cut = -(2**63) + int(min(1.0, 2 * most(value) / n) * 2**64)
+        passed = passed | ((F.col(key) == F.lit(value)) & (hashed <= F.lit(min(cut, 2**63 - 1))))
+        last = F.when(F.col(key) == F.lit(value), F.lit(most(value))).otherwise(last)
+    turn = F.row_number().over(Window.partitionBy(key).orderBy("_hash", "doc_id"))
+    few = ids.where(passed).distinct().withColumn("_hash", hashed)
+    return few.withColumn("_turn", turn).where(F.col("_turn") <= last).select(key, "doc_id")
+
+
 # Bytes of a batch that goes to Python, and rows that are taken out of it at once.
 BATCH_BYTES = "8m"
 BATCH_DEFAULT = 64 << 20

@@ -20,10 +20,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import bounded_batches, fold, per_row
+from starmart.llm.common import bounded_batches, fold, least_hashed, per_row
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -218,9 +218,9 @@ def training_windows(docs: DataFrame, folds: int = FOLDS, docs_of_language: int
     of it.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", folds) != 0))
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy("_hash", "doc_id"))
-    ids = labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("_hash")).withColumn("_turn", turn).where(F.col("_turn") <= docs_of_language)
-    taken = labelled.join(F.broadcast(ids.select("lang", "doc_id").distinct()), ["lang", "doc_id"], "left_semi")
+    # at most docs_of_language rows for each language
+    ids = least_hashed(labelled, "lang", lambda _: docs_of_language)
+    taken = labelled.join(F.broadcast(ids), ["lang", "doc_id"], "left_semi")
 
     def rows(batch: pa.RecordBatch) -> dict:
         lang: list[str] = []

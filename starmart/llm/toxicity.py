@@ -24,10 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import fold, per_row, text_or_empty
+from starmart.llm.common import fold, least_hashed, per_row, text_or_empty
 
 POSITIVES, NEGATIVES = 3_000, 6_000
 FEATURES = 4_096
@@ -106,11 +106,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_o
     """``toxic, text``: for each label a bounded number of documents, those of least id hash."""
     open_ = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", folds) != held_out))
     one = open_.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    turn = F.row_number().over(Window.partitionBy("toxic").orderBy("_hash", "doc_id"))
-    most = F.when(F.col("toxic") == 1, POSITIVES).otherwise(NEGATIVES)
-    taken = one.withColumn("_hash", F.xxhash64("doc_id")).withColumn("_turn", turn).where(F.col("_turn") <= most)
+    taken = least_hashed(one, "toxic", lambda toxic: POSITIVES if toxic else NEGATIVES)
     # at most POSITIVES + NEGATIVES rows
-    return docs.where("text is not null").select("doc_id", "text").join(F.broadcast(taken.select("doc_id", "toxic")), "doc_id").select("toxic", "text")
+    return docs.where("text is not null").select("doc_id", "text").join(F.broadcast(taken), "doc_id").select("toxic", "text")
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:

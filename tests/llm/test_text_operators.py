@@ -299,3 +299,17 @@ def test_fingerprints_of_rows(docs):
     assert order_minhash.fingerprints(df.limit(0)).count() == 0
 
 
+def test_samples_are_the_least_hashes_of_each_key(spark):
+    from pyspark.sql import functions as F
+
+    from starmart.llm.common import least_hashed
+
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("k"))
+    rows = rows.unionByName(rows.where("k = 'a' and doc_id < 50")).unionByName(spark.createDataFrame([(None, "a"), (1, None)], "doc_id long, k string"))
+    most = {"a": 100, "b": 1000}
+    got = {tuple(r) for r in least_hashed(rows, "k", most.__getitem__).collect()}
+    hashes = {r[0]: r[1] for r in spark.range(4000).select("id", F.xxhash64("id")).collect()}
+    for key, n in most.items():
+        ids = sorted((i for i in hashes if (i % 10 == 0) == (key == "b")), key=hashes.__getitem__)[:n]
+        assert {i for k, i in got if k == key} == set(ids)
+    assert least_hashed(rows.where("false"), "k", most.__getitem__).count() == 0
