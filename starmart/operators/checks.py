@@ -60,9 +60,9 @@ def check_table(name: str, tables: Mapping[str, DataFrame], rules: TableRules |
     for keys, parent, parent_keys in rules.foreign:
         missing = orphans(df, keys, tables[parent], parent_keys)
         parts.append(report(f"foreign({','.join(keys)})->{parent}", missing.agg(count)))
-    for column, width in rules.widths.items():
-        over = df.agg(F.count_if(F.length(column) > width).alias("broken"))
-        parts.append(report(f"width({column}<={width})", over))
+    if rules.widths:
+        rule = F.format_string("width(%s<=%d)", "column", "limit")
+        parts.append(too_long(df, rules.widths).select(F.lit(name).alias("table"), rule.alias("rule"), F.col("beyond").alias("broken")))
     return reduce(DataFrame.unionByName, parts)
 
 
