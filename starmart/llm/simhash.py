@@ -109,13 +109,15 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     def fp_of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([simhash(t) for t in texts], dtype=np.uint64).view(np.int64))
 
-    place = F.struct(F.col("doc.doc_id").isNull(), F.col("doc.doc_id"), F.sha2(text_or_empty("doc.text"), 256)).alias("_place")
-    rows = docs.select(F.struct("*").alias("doc"), fp_of(text_or_empty()).alias("_fp")).select("doc", "_fp", place)
-    prints = stored(rows.groupBy("_fp").agg(F.min("_place").alias("_least")), "simhash")
+    # a row's place in the choice; its fingerprint is a function of the text, so of its place
+    rows = docs.select(F.col("doc_id").alias("_id"), F.sha2(text_or_empty(), 256).alias("_sha"), fp_of(text_or_empty()).alias("_fp"))
+    place = F.struct(F.col("_id").isNull().alias("_null"), "_id", "_sha")
+    prints = stored(rows.groupBy("_fp").agg(F.min(place).alias("_least")), "simhash")
     roots = components(links(prints.select(F.col("_fp").alias("fp")), radius))
     grouped = prints.join(roots, prints["_fp"] == roots["node"], "left").withColumn("_root", F.coalesce("root", "_fp"))
-    # a group's row has the fingerprint that its least place came from
-    best = grouped.groupBy("_root").agg(F.min(F.struct("_least", "_fp")).alias("_best")).select("_best._fp", "_best._least")
-    held = rows.join(best, "_fp").where(F.col("_place") == F.col("_least"))
-    turn = F.row_number().over(Window.partitionBy("_fp").orderBy("_place"))
+    best = grouped.groupBy("_root").agg(F.min("_least").alias("_least")).select("_least._id", "_least._sha")
+    # the texts meet the places, so nothing is fingerprinted again and a large group is no hot key
+    whole = docs.select(F.struct("*").alias("doc"), F.sha2(text_or_empty(), 256).alias("_digest"))
+    held = whole.join(best, F.col("doc.doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha")))
+    turn = F.row_number().over(Window.partitionBy("_id", "_sha").orderBy("_id"))
     return held.withColumn("_turn", turn).where("_turn = 1").select("doc.*")
