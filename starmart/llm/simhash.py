@@ -116,6 +116,11 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     roots = components(links(prints.select(F.col("_fp").alias("fp")), radius))
     grouped = prints.join(roots, prints["_fp"] == roots["node"], "left").withColumn("_root", F.coalesce("root", "_fp"))
     best = grouped.groupBy("_root").agg(F.min("_least").alias("_least")).select("_least._id", "_least._sha")
+    return rows_at(docs, best)
+
+
+def rows_at(docs: DataFrame, best: DataFrame) -> DataFrame:
+    """The rows of ``docs`` at the places ``_id, _sha``, one for each place."""
     # the texts meet the places, so nothing is fingerprinted again and a large group is no hot key
     whole = docs.select(F.struct("*").alias("doc"), F.sha2(text_or_empty(), 256).alias("_digest"))
     held = whole.join(best, F.col("doc.doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha")))

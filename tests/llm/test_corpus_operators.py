@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starmart.llm import mixing, neighbours, registry, simhash, suffix_dedup
+from starmart.llm import mixing, near_copies, neighbours, registry, simhash, suffix_dedup
 from starmart.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -264,6 +264,51 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() == packed.count()
 
 
+def planted(draw, n, least, most):
+    """A text of ``n`` random words and one whose five-word similarity to it is in the range."""
+    words = [f"w{draw.randrange(10**6)}" for _ in range(n)]
+    other = list(words)
+    while (like := near_copies.similarity(" ".join(words), " ".join(other))) > most:
+        other[draw.randrange(n)] = f"x{draw.randrange(10**6)}"
+    return (" ".join(words), " ".join(other)) if like >= least else planted(draw, n, least, most)
+
+
+def test_near_copies_stage_finds_planted_pairs(spark, docs):
+    draw, rows, pairs, far = random.Random(4), [], 0, 0
+    for least, most, near in [(0.8, 0.84, True), (0.88, 0.92, True), (0.93, 0.96, True), (0.6, 0.78, False)]:
+        for n in [100, 300, 1000, 2000] * 10:
+            rows += [(len(rows) + i, t) for i, t in enumerate(planted(draw, n, least, most))]
+            pairs, far = pairs + near, far + (not near)
+    stage = dict(corpus_pipeline.STAGES)["near_copies"]
+    kept = {r.doc_id for r in stage(spark, docs(*rows), SF).collect()}
+    assert all(r[0] in kept for r in rows[2 * pairs :])  # below the limit both stay
+    lost = sum(r[0] in kept for r in rows[1 : 2 * pairs : 2])
+    assert lost <= 0.01 * pairs and all(r[0] in kept for r in rows[::2])
+
+
+def test_near_copies_meet_past_a_bucket_of_others(docs):
+    # 30 texts of one template, each with a near copy: a bucket's least is near only one of them
+    draw = random.Random(6)
+    shared = [f"t{i}" for i in range(300)]
+    rows = []
+    for i in range(30):
+        own = [f"d{i}_{j}" for j in range(60)]
+        rows += [(i, " ".join(shared + own)), (100 + i, " ".join([*shared, *own[:-2], "end", "of"]))]
+    rows += [(200, None), (201, " "), (202, "One  two"), (None, "one two"), (203, "one two"), (203, "one two three")]
+    draw.shuffle(rows)
+    df = docs(*rows, node=1, key="k")
+    kept = near_copies.keep_one(df)
+    assert kept.columns == df.columns
+    texts = {r[0]: r[1] for r in rows if r[0] is not None and r[0] < 200}
+    want = Groups()
+    for a in texts:
+        for b in texts:
+            if a < b and near_copies.similarity(texts[a], texts[b]) >= near_copies.SIMILARITY:
+                want.link(a, b)
+    assert {r.doc_id for r in kept.collect()} == {want.root(a) for a in texts} | {200, 202, 203}
+    assert near_copies.keep_one(df.limit(0)).count() == 0
+
+
 def test_edited_digests_are_those_of_the_texts(spark):
     docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     got = {r.doc_id: r for r in registry.op10_order_minhash(spark, SF).collect()}
