@@ -90,7 +90,8 @@ class Index:
         held = 0
         radius = max(self.first_radius, 1e-9)
         while True:
-            half = min(HALF_WIDTH * radius, self.step / 4)
+            # no limit to its growth: what reaches past an array's ends is cut off there
+            half = HALF_WIDTH * radius
             new_low = np.clip(np.searchsorted(self.sorted, at - half + self.offset, "left"), self.low_end, low)
             new_high = np.clip(np.searchsorted(self.sorted, at + half + self.offset, "right"), high, self.low_end + n)
             parts = [self.order[a:b] for a, b in zip(new_low.tolist(), low.tolist(), strict=True) if a < b]
@@ -101,6 +102,7 @@ class Index:
                 counts += np.bincount(np.concatenate(parts), minlength=n)
             hit = np.flatnonzero(open_ & (counts >= need)) if not whole else np.flatnonzero(open_)
             open_[hit] = False
+            whole = whole or not open_.any()
             hit = hit[self.ids[hit] != own]
             if len(hit):
                 found.append(hit)

@@ -196,6 +196,29 @@ def test_neighbours_of_odd_rows(spark, monkeypatch):
     assert neighbours.search(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dim", [1, 5, 64, 384])
+def test_small_blocks_give_all_their_vectors(dim):
+    draw = np.random.default_rng(dim)
+    for n in range(1, 21):
+        vectors = draw.standard_normal((n, dim))
+        vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+        ids = np.arange(n) * 20
+        index = neighbours.Index(ids, vectors, 1 + 1e-12)
+        for query in (vectors[0], 50 * vectors[0]):  # one far outside of the block as well
+            assert index.search(query, 0, 20)[0].tolist() == exact(ids.tolist(), vectors, query, 0, 20)
+
+
+def test_neighbours_of_a_rare_length(spark):
+    draw = np.random.default_rng(8)
+    rows = [(i, draw.standard_normal(8).tolist()) for i in range(100)] + [(100 + i, draw.standard_normal(3).tolist()) for i in range(5)]
+    got = defaultdict(list)
+    for r in neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    ids, rare = [r[0] for r in rows[100:]], np.array([r[1] for r in rows[100:]])
+    assert sorted(got) == [0, 20, 40, 60, 80, 100]
+    assert got[100] == exact(ids, rare, rare[0], 100, 20)
+
+
 # Mixing -----------------------------------------------------------------
 
 
