@@ -69,12 +69,26 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
     with open(path, encoding="utf-8") as f:
         found = ranked(json.load(f))
     if found is None:
-        from tokenizers import Tokenizer
+        return library(path)
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_file(path)
-        return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids)
-    return found
+    def ids(text: str) -> np.ndarray:
+        try:
+            return found(text)
+        except ValueError:
+            # its expression gives up on very long runs of white space
+            return library(path)(text)
+
+    return ids
+
+
+@lru_cache(maxsize=2)
+def library(path: str) -> Callable[[str], np.ndarray]:
+    """``encoder`` by the ``tokenizers`` library itself."""
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Tokenizer.from_file(path)
+    return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids)
 
 
 def windows(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

@@ -51,6 +51,11 @@ def test_token_counts_of_rows(docs):
     assert token_counts.token_counts(df.limit(0), PATH).count() == 0
 
 
+@pytest.mark.parametrize("text", [" " * 1_200_000, "a" + " \n" * 600_000 + "b <|endoftext|>c"])
+def test_ids_of_very_long_white_space(text):
+    assert packing.encoder(PATH)(text).tolist() == library_ids(text)
+
+
 def test_best_fit_takes_the_tightest_room():
     lengths = np.array([6, 5, 4, 3, 2, 10])
     sequence, offset = packing.best_fit_decreasing(lengths, 10)
