@@ -5,7 +5,8 @@ escapes, base64 runs, and compressed data inside of those) becomes a layer that
 scanned and unwrapped in turn, until no new layer comes up.  A layer that was met before
 at the same place is not taken again, so data that decodes to itself ends.  Every
 character of a layer knows the span of the original text that it came from, and
-findings are reported as such spans.
+findings are reported as such spans.  Decoded bytes are read one by one (and by twos where
+they look like UTF-16), so bytes that are no text do not hide a secret beside them.
 
 Results: a null text counts as empty and has no spans.  Repeated rows are scanned each;
 null ids are kept; an empty table gives an empty table.  A compressed layer of more than
@@ -22,7 +23,7 @@ import lzma
 import re
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -106,23 +107,8 @@ def unescaped(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     return Layer("".join([*text, layer.text[at:]]), np.concatenate([*start, layer.start[at:]]), np.concatenate([*end, layer.end[at:]]))
 
 
-def utf8_units(raw: bytes) -> list[tuple[str, int, int]] | None:
-    """Characters of UTF-8 bytes with the bytes they take; None if it is no UTF-8."""
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    out, at = [], 0
-    for c in text:
-        n = 1 if c < "\x80" else 2 if c < "ࠀ" else 3 if c < "\U00010000" else 4
-        out.append((c, at, at + n))
-        at += n
-    return out
-
-
-def percent_units(match: str) -> list[tuple[str, int, int]] | None:
-    units = utf8_units(binascii.unhexlify(match.replace("%", "")))
-    return None if units is None else [(c, 3 * a, 3 * b) for c, a, b in units]
+def percent_units(match: str) -> list[tuple[str, int, int]]:
+    return [(chr(b), 3 * i, 3 * i + 3) for i, b in enumerate(binascii.unhexlify(match.replace("%", "")))]
 
 
 def escape_units(match: str) -> list[tuple[str, int, int]] | None:
@@ -137,16 +123,31 @@ def escape_units(match: str) -> list[tuple[str, int, int]] | None:
     return [(chr(number), 0, len(match))]
 
 
-def readable(raw: bytes) -> str | None:
-    """The text that ``raw`` is, if all of it can be printed."""
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and (text.isprintable() or text.translate(BLANKS).isprintable()) else None
+def byte_layers(raw: bytes, spans: Callable[[], tuple[np.ndarray, np.ndarray]]) -> Iterator[Layer]:
+    """The texts that ``raw`` is: a character a byte, and one for two bytes where it looks like UTF-16.
+
+    What is looked for is ASCII, so other characters need not come out right.  ``spans`` gives
+    the origins of the bytes, and is asked only for texts in which something is found.
+    """
+    text = raw.decode("latin-1")
+    if of_use(text):
+        yield Layer(text, *spans())
+    if WIDE.search(raw):
+        for odd in (0, 1):
+            units = np.frombuffer(raw, dtype="<u2", offset=odd, count=(len(raw) - odd) // 2)
+            for wide in (units, units.byteswap()):
+                text = np.where(wide < 128, wide, 255).astype(np.uint8).tobytes().decode("latin-1")
+                if of_use(text):
+                    start, end = spans()
+                    yield Layer(text, start[odd : odd + 2 * len(text) : 2], end[odd + 1 : odd + 2 * len(text) : 2])
+
 
+WIDE = re.compile(rb"(?:[\t\n\r -~]\0){6}|(?:\0[\t\n\r -~]){6}")
 
-BLANKS = {9: " ", 10: " ", 13: " "}
+
+def of_use(text: str) -> bool:
+    """Whether decoded bytes hold a secret or more to decode; most that are no text do not."""
+    return bool(BASE64.search(text) or PERCENT.search(text) or ESCAPE.search(text) or base_spans(text))
 
 
 def unbase64(run: str) -> bytes | None:
@@ -202,25 +203,26 @@ def unwrapped(layer: Layer) -> Iterator[Layer | None]:
         raw = unbase64(m[0])
         if not raw:
             continue
-        if (text := readable(raw)) is not None:
+
+        def spans(at: int = m.start(), n: int = len(raw)) -> tuple[np.ndarray, np.ndarray]:
             # byte j of the data needs characters 4 * (j // 3) + j % 3 and the next one
-            a, b = (np.array(x, dtype=np.int64) for x in zip(*((a, b) for _, a, b in utf8_units(raw)), strict=True))
-            first = m.start() + 4 * (a // 3) + a % 3
-            last = m.start() + 4 * ((b - 1) // 3) + (b - 1) % 3 + 1
-            yield Layer(text, layer.start[first], layer.end[last])
-            continue
+            first = np.arange(n)
+            first = at + 4 * (first // 3) + first % 3
+            return layer.start[first], layer.end[first + 1]
+
+        def all_of_run(a: int = m.start(), b: int = m.end()) -> tuple[np.ndarray, np.ndarray]:
+            lo, hi = layer.origin(a, b)
+            return np.broadcast_to(np.int64(lo), len(inner)), np.broadcast_to(np.int64(hi), len(inner))
+
+        yield from byte_layers(raw, spans)
         inner: bytes | None = raw
         met: set[bytes] = set()
         try:
-            while inner is not None and inner not in met and readable(inner) is None:
+            while (inner := decompressed(inner)) and inner not in met:
                 met.add(inner)
-                inner = decompressed(inner)
+                yield from byte_layers(inner, all_of_run)
         except TooLarge:
             yield None
-            continue
-        if inner is not None and (text := readable(inner)) is not None:
-            lo, hi = layer.origin(m.start(), m.end())
-            yield Layer(text, np.full(len(text), lo), np.full(len(text), hi))
 
 
 def scan(text: str) -> tuple[list[Span], list[Span], int]:

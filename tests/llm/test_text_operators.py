@@ -195,6 +195,18 @@ def test_nested_layers_map_to_the_original():
         assert all(5 <= a < b <= 5 + len(wrapped) for _, a, b in spans)
 
 
+@pytest.mark.parametrize("odd", ["\u00a0", "\u3000", "\u200b", "\ufeff", "\x1b[31m", "\0", "日本語", "été"])
+def test_bytes_that_are_no_plain_text_hide_nothing(odd):
+    inner = f"{odd} password=hunter2hunter2 {odd}"
+    for raw in (inner.encode(), inner.encode("latin-1", "replace"), inner.encode("utf-16"), inner.encode("utf-16-be"), b"x" + inner.encode("utf-16-le"), b"\xff\xe9" + inner.encode()):
+        for wrapped in (base64.b64encode(raw).decode(), base64.b64encode(gzip.compress(raw)).decode()):
+            spans = found("head " + wrapped + " tail")
+            assert {k for k, _, _ in spans} == {"assign"}, raw
+            assert all(5 <= a < b <= 5 + len(wrapped) for _, a, b in spans)
+    text = "a %FF%70%61%73%73word=hunter2hunter2%E9 b"
+    assert found(text) == {("assign", 5, 36)}
+
+
 def test_decoding_ends_and_is_bounded(monkeypatch):
     assert scan("%25" * 2000)[1] == []
     assert scan(base64.b64encode(b"\x1f\x8b broken stream of bytes").decode())[1:] == ([], 0)
