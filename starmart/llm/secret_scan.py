@@ -10,8 +10,8 @@ they look like UTF-16), so bytes that are no text do not hide a secret beside th
 
 Results: a null text counts as empty and has no spans.  Repeated rows are scanned each;
 null ids are kept; an empty table gives an empty table.  A compressed layer of more than
-``LAYER_BYTES`` is not read further and is counted in ``unread``, so nothing is passed over
-silently.
+``LAYER_BYTES`` is read in pieces that overlap by ``OVERLAP_BYTES``, so its secrets are found; it
+is counted in ``unread``, as something encoded in it that is longer than the overlap may be cut.
 """
 
 from __future__ import annotations
@@ -22,13 +22,13 @@ import bz2
 import lzma
 import re
 import zlib
-from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +51,7 @@ BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 STANDARD = str.maketrans("-_", "+/")
 
 LAYER_BYTES = 64 << 20
+OVERLAP_BYTES = 64 << 10
 
 Span = tuple[int, int, int]  # kind's number, start, end
 
@@ -66,11 +67,16 @@ def base_spans(text: str) -> list[Span]:
 
 @dataclass
 class Layer:
-    """Decoded text; character i stems from ``[start[i], end[i])`` of the original."""
+    """Decoded text; character i stems from ``[start[i], end[i])`` of the original.
+
+    ``tail`` is where what holds the text ends, with its padding.
+    """
 
     text: str
     start: np.ndarray
     end: np.ndarray
+    decoded: bool = False
+    tail: int | None = None
 
     @classmethod
     def original(cls, text: str) -> Layer:
@@ -104,7 +110,7 @@ def unescaped(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
         at = m.end()
     if not at:
         return None
-    return Layer("".join([*text, layer.text[at:]]), np.concatenate([*start, layer.start[at:]]), np.concatenate([*end, layer.end[at:]]))
+    return Layer("".join([*text, layer.text[at:]]), np.concatenate([*start, layer.start[at:]]), np.concatenate([*end, layer.end[at:]]), True)
 
 
 def percent_units(match: str) -> list[tuple[str, int, int]]:
@@ -123,15 +129,23 @@ def escape_units(match: str) -> list[tuple[str, int, int]] | None:
     return [(chr(number), 0, len(match))]
 
 
-def byte_layers(raw: bytes, spans: Callable[[], tuple[np.ndarray, np.ndarray]]) -> Iterator[Layer]:
+LITERAL = re.compile(ESCAPE.pattern + r"""|\\[abfnrtv0\\'"]""")
+SHORT = dict(zip("abfnrtv0\\'\"", "\a\b\f\n\r\t\v\0\\'\"", strict=True))
+
+
+def literal_units(match: str) -> list[tuple[str, int, int]] | None:
+    return [(SHORT[match[1]], 0, 2)] if len(match) == 2 else escape_units(match)
+
+
+def byte_layers(raw: bytes, spans: Callable[[], tuple[np.ndarray, np.ndarray]], tail: int | None = None) -> Iterator[Layer]:
     """The texts that ``raw`` is: a character a byte, and one for two bytes where it looks like UTF-16.
 
     What is looked for is ASCII, so other characters need not come out right.  ``spans`` gives
     the origins of the bytes, and is asked only for texts in which something is found.
     """
     text = raw.decode("latin-1")
-    if of_use(text):
-        yield Layer(text, *spans())
+    if MAGIC.search(raw) or of_use(text):
+        yield Layer(text, *spans(), True, tail)
     if WIDE.search(raw):
         for odd in (0, 1):
             units = np.frombuffer(raw, dtype="<u2", offset=odd, count=(len(raw) - odd) // 2)
@@ -139,7 +153,7 @@ def byte_layers(raw: bytes, spans: Callable[[], tuple[np.ndarray, np.ndarray]])
                 text = np.where(wide < 128, wide, 255).astype(np.uint8).tobytes().decode("latin-1")
                 if of_use(text):
                     start, end = spans()
-                    yield Layer(text, start[odd : odd + 2 * len(text) : 2], end[odd + 1 : odd + 2 * len(text) : 2])
+                    yield Layer(text, start[odd : odd + 2 * len(text) : 2], end[odd + 1 : odd + 2 * len(text) : 2], True)
 
 
 WIDE = re.compile(rb"(?:[\t\n\r -~]\0){6}|(?:\0[\t\n\r -~]){6}")
@@ -160,45 +174,96 @@ def unbase64(run: str) -> bytes | None:
         return None
 
 
-class TooLarge(Exception):
-    pass
+MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\0|\x28\xb5\x2f\xfd")
+BROKEN = (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError)
+# Bytes given to a decompressor one by one at first, then at once, so that noise ends soon.
+SLOW_BYTES, STEP_BYTES = 256, 512
+# Noise that looks compressed gives a few bytes at most; inside of what gives more no other start is tried.
+LEAST_SKIPPED = 1024
 
 
-def decompressed(raw: bytes) -> bytes | None:
-    """What compressed bytes hold; None if they are none, TooLarge beyond ``LAYER_BYTES``."""
-    try:
-        if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] * 256 + raw[1]) % 31 == 0):
-            # a stream that stops early gives what it has
-            opened = zlib.decompressobj(47)
-            out = opened.decompress(raw, LAYER_BYTES)
-            over = bool(opened.unconsumed_tail)
-        elif raw[:3] == b"BZh":
-            opened = bz2.BZ2Decompressor()
-            out = opened.decompress(raw, LAYER_BYTES)
-            over = not opened.eof and not opened.needs_input
-        elif raw[:6] == b"\xfd7zXZ\x00":
-            opened = lzma.LZMADecompressor()
-            out = opened.decompress(raw, LAYER_BYTES)
-            over = not opened.eof and not opened.needs_input
-        elif raw[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor().stream_reader(raw) as opened:
-                out = opened.read(LAYER_BYTES)
-                over = bool(opened.read(1))
-        else:
-            return None
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
+def opened(first: bytes):
+    """A decompressor for data that begins like this, None if it is none."""
+    if not MAGIC.match(first):
         return None
-    if over:
-        raise TooLarge
-    return out
+    if first[:1] in b"\x1fx":
+        return zlib.decompressobj(47)
+    if first[:1] == b"B":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor() if first[:1] == b"\xfd" else zstandard.ZstdDecompressor().decompressobj()
+
+
+def inflated(raw: bytes, at: int) -> Iterator[tuple[bytes, int]]:
+    """What the compressed data from ``at`` on hold, and where the bytes for it end.
+
+    All members or frames that follow each other are read.  Data that break off or are broken
+    give what they have up to there.
+    """
+    slow = at + SLOW_BYTES
+    while (stream := opened(raw[at : at + 6])) is not None:
+        while not stream.eof and at < len(raw):
+            part = raw[at : at + (1 if at < slow else STEP_BYTES)]
+            before = stream.copy() if len(part) > 1 and hasattr(stream, "copy") else None
+            try:
+                out = stream.decompress(part)
+            except BROKEN:
+                if before is None:
+                    return
+                stream, slow = before, at + STEP_BYTES
+                continue
+            at += len(part) - (len(stream.unused_data) if stream.eof else 0)
+            yield out, at
+        if not stream.eof:
+            return
+
+
+def in_pieces(stream: Iterator[tuple[bytes, int]]) -> Iterator[bytes]:
+    """The stream's bytes in pieces of at most ``LAYER_BYTES``, each with the end of the one before."""
+    held = bytearray()
+    for out, _ in stream:
+        held += out
+        while len(held) > LAYER_BYTES:
+            yield bytes(held[:LAYER_BYTES])
+            del held[: LAYER_BYTES - min(OVERLAP_BYTES, LAYER_BYTES // 2)]
+    if held:
+        yield bytes(held)
+
+
+def compressed_layers(layer: Layer) -> Iterator[Layer | None]:
+    """The layers of compressed data anywhere in decoded bytes; None for data in more than one piece."""
+    raw = layer.text.encode("latin-1", "replace")
+    done = 0
+    for m in MAGIC.finditer(raw):
+        if m.start() < done:
+            continue
+        size, end = 0, m.start()
+        for out, end in inflated(raw, m.start()):
+            size += len(out)
+        if not size:
+            continue
+        if size >= LEAST_SKIPPED:
+            done = end
+        lo, hi = layer.origin(m.start(), end)
+        if end == len(raw) and layer.tail is not None:
+            hi = max(hi, layer.tail)
+        for piece in in_pieces(inflated(raw, m.start())):
+            n = len(piece)
+            yield from byte_layers(piece, lambda n=n: (np.broadcast_to(np.int64(lo), n), np.broadcast_to(np.int64(hi), n)))
+        if size > LAYER_BYTES:
+            yield None
 
 
 def unwrapped(layer: Layer) -> Iterator[Layer | None]:
-    """The layers directly inside ``layer``; None for one that is too large."""
+    """The layers directly inside ``layer``; None for one that is read in more than one piece."""
+    if layer.decoded:
+        yield from compressed_layers(layer)
     if "%" in layer.text and (inner := unescaped(layer, PERCENT, percent_units)):
         yield inner
     if ("\\" in layer.text or "&#" in layer.text) and (inner := unescaped(layer, ESCAPE, escape_units)):
         yield inner
+        if "\\" in layer.text and MAGIC.search(inner.text.encode("latin-1", "replace")):
+            # as bytes are written in programs: the short escapes belong to the data as well
+            yield unescaped(layer, LITERAL, literal_units)
     for m in BASE64.finditer(layer.text):
         raw = unbase64(m[0])
         if not raw:
@@ -210,44 +275,32 @@ def unwrapped(layer: Layer) -> Iterator[Layer | None]:
             first = at + 4 * (first // 3) + first % 3
             return layer.start[first], layer.end[first + 1]
 
-        def all_of_run(a: int = m.start(), b: int = m.end()) -> tuple[np.ndarray, np.ndarray]:
-            lo, hi = layer.origin(a, b)
-            return np.broadcast_to(np.int64(lo), len(inner)), np.broadcast_to(np.int64(hi), len(inner))
-
-        yield from byte_layers(raw, spans)
-        inner: bytes | None = raw
-        met: set[bytes] = set()
-        try:
-            while (inner := decompressed(inner)) and inner not in met:
-                met.add(inner)
-                yield from byte_layers(inner, all_of_run)
-        except TooLarge:
-            yield None
+        yield from byte_layers(raw, spans, layer.origin(m.start(), m.end())[1])
 
 
 def scan(text: str) -> tuple[list[Span], list[Span], int]:
-    """The base spans, all spans, and how many layers were too large to read.
+    """The base spans, all spans, and how many layers were read in pieces.
 
     Spans are sorted by start, then kind, then end; ``all`` has each span once.
     """
     base = sorted(base_spans(text), key=lambda s: (s[1], s[0], s[2]))
     if not ("%" in text or "\\" in text or "&#" in text) and not BASE64.search(text):
         return base, base, 0
-    spans, unread = set(base), 0
-    work, met = deque([Layer.original(text)]), {(text, 0, len(text))}
+    spans, unread, met = set(base), 0, set()
+    # depth first, so that one piece of large data is held at a time
+    work = [unwrapped(Layer.original(text))]
     while work:
-        for inner in unwrapped(work.popleft()):
-            if inner is None:
-                unread += 1
-                continue
-            if not inner.text:
-                continue
-            mark = (inner.text, *inner.origin(0, len(inner.text)))
-            if mark in met:
-                continue
-            met.add(mark)
-            spans.update((kind, *inner.origin(a, b)) for kind, a, b in base_spans(inner.text))
-            work.append(inner)
+        inner = next(work[-1], work)
+        if inner is work:
+            work.pop()
+        elif inner is None:
+            unread += 1
+        elif inner.text:
+            mark = (xxhash.xxh3_128_digest(inner.text.encode("utf-8", "surrogatepass")), *inner.origin(0, len(inner.text)))
+            if mark not in met:
+                met.add(mark)
+                spans.update((kind, *inner.origin(a, b)) for kind, a, b in base_spans(inner.text))
+                work.append(unwrapped(inner))
     return base, sorted(spans, key=lambda s: (s[1], s[0], s[2])), unread
 
 

@@ -1,13 +1,17 @@
 """Operators that look at one row at a time, and packing."""
 
 import base64
+import bz2
 import gzip
+import lzma
 import random
 import zlib
+from urllib.parse import quote
 
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -207,6 +211,33 @@ def test_bytes_that_are_no_plain_text_hide_nothing(odd):
     assert found(text) == {("assign", 5, 36)}
 
 
+INNER = b"the password=hunter2hunter2 end"
+PACKERS = [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress]
+
+
+@pytest.mark.parametrize("packer", PACKERS)
+def test_all_members_and_escapes_of_compressed_data(packer):
+    data = packer(b"nothing here " * 200) + packer(b"more") + packer(INNER)
+    percent = "".join(f"%{b:02x}" for b in data)
+    escapes = "".join(f"\\x{b:02x}" for b in data)
+    for wrapped in (base64.b64encode(data).decode(), percent, escapes, quote(data, safe=""), repr(data)[2:-1]):
+        spans = found(f"é head {wrapped} tail")
+        assert {k for k, _, _ in spans} == {"assign"}, wrapped
+        assert all(7 <= a < b <= 7 + len(wrapped) + 1 for _, a, b in spans)
+        assert "[assign]" in secret_scan.mask(f"é head {wrapped} tail")
+    halves = packer(b"x password=hunter2") + packer(b"hunter2 y")  # across a border
+    assert found(base64.b64encode(halves).decode())
+    assert found(base64.b64encode(packer(packer(INNER))).decode())
+
+
+@pytest.mark.parametrize("at", [0, 900, 990, 1490, 3000, 19_980])
+def test_large_layers_are_read_in_pieces(monkeypatch, at):
+    monkeypatch.setattr(secret_scan, "LAYER_BYTES", 1000)
+    text = (b"a b " * 5000)[:at] + b" " + INNER + b" " + b"a b " * 5000
+    base, spans, unread = scan("x " + base64.b64encode(gzip.compress(text)).decode())
+    assert base == [] and {s[0] for s in spans} == {0} and unread == 1
+
+
 def test_decoding_ends_and_is_bounded(monkeypatch):
     assert scan("%25" * 2000)[1] == []
     assert scan(base64.b64encode(b"\x1f\x8b broken stream of bytes").decode())[1:] == ([], 0)
