@@ -48,6 +48,8 @@ LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2})|\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\x[0-9a-fA-F]{2}|&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# A run wrapped over lines, which may be indented.
+LINES = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
 STANDARD = str.maketrans("-_", "+/")
 
 LAYER_BYTES = 64 << 20
@@ -164,14 +166,10 @@ def of_use(text: str) -> bool:
     return bool(BASE64.search(text) or PERCENT.search(text) or ESCAPE.search(text) or base_spans(text))
 
 
-def unbase64(run: str) -> bytes | None:
-    body = run.rstrip("=")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode((body + "=" * (-len(body) % 4)).translate(STANDARD))
-    except binascii.Error:
-        return None
+def unbase64(body: str) -> bytes:
+    """What a run without its padding holds; a single last character holds no byte."""
+    body = body[:-1] if len(body) % 4 == 1 else body
+    return base64.b64decode((body + "=" * (-len(body) % 4)).translate(STANDARD))
 
 
 MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\0|\x28\xb5\x2f\xfd")
@@ -265,17 +263,32 @@ def unwrapped(layer: Layer) -> Iterator[Layer | None]:
             # as bytes are written in programs: the short escapes belong to the data as well
             yield unescaped(layer, LITERAL, literal_units)
     for m in BASE64.finditer(layer.text):
-        raw = unbase64(m[0])
-        if not raw:
+        yield from base64_layers(layer, m.start(), m[0], None, m.end())
+    if "\n" in layer.text:
+        for m in LINES.finditer(layer.text):
+            at = m.start() + np.flatnonzero(np.frombuffer(m[0].encode(), dtype=np.uint8) > 32)
+            yield from base64_layers(layer, m.start(), "".join(m[0].split()), at, m.end())
+
+
+def base64_layers(layer: Layer, begin: int, run: str, at: np.ndarray | None, stop: int) -> Iterator[Layer]:
+    """The layers of a base64 run, from each of its first four characters on.
+
+    So data that stand behind a path or a prefix are decoded as well, wherever they begin.
+    ``at`` has the places of the run's characters if they are not next to each other.
+    """
+    body = run.rstrip("=")
+    for skip in range(4):
+        if not (raw := unbase64(body[skip:])):
             continue
 
-        def spans(at: int = m.start(), n: int = len(raw)) -> tuple[np.ndarray, np.ndarray]:
+        def spans(skip: int = skip, n: int = len(raw)) -> tuple[np.ndarray, np.ndarray]:
             # byte j of the data needs characters 4 * (j // 3) + j % 3 and the next one
             first = np.arange(n)
-            first = at + 4 * (first // 3) + first % 3
-            return layer.start[first], layer.end[first + 1]
+            first = skip + 4 * (first // 3) + first % 3
+            first, last = (begin + first, begin + first + 1) if at is None else (at[first], at[first + 1])
+            return layer.start[first], layer.end[last]
 
-        yield from byte_layers(raw, spans, layer.origin(m.start(), m.end())[1])
+        yield from byte_layers(raw, spans, layer.origin(begin, stop)[1])
 
 
 def scan(text: str) -> tuple[list[Span], list[Span], int]:

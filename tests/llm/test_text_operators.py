@@ -238,6 +238,31 @@ def test_large_layers_are_read_in_pieces(monkeypatch, at):
     assert base == [] and {s[0] for s in spans} == {0} and unread == 1
 
 
+@pytest.mark.parametrize("prefix", ["https://host/v1/", "key_", "v1-", "a/", "ab+", "abc_d-", "x"])
+@pytest.mark.parametrize("data", [INNER, INNER + b"!", gzip.compress(INNER), b"\xff\0" + INNER])
+def test_runs_behind_prefixes(prefix, data):
+    for code in (base64.b64encode(data).decode(), base64.urlsafe_b64encode(data).decode().rstrip("=")):
+        spans = found(f"é {prefix}{code} tail")
+        assert {k for k, _, _ in spans} == {"assign"}
+        assert all(2 + len(prefix) - 1 <= a < b <= 2 + len(prefix) + len(code) for _, a, b in spans)
+
+
+@pytest.mark.parametrize("wrap", ["\n", "\r\n", "\n  "])
+@pytest.mark.parametrize("width", [64, 76])
+def test_runs_over_lines(wrap, width):
+    draw = random.Random(width)
+    noise = "".join(draw.choices("abcdefgh ", k=500))
+    for n in range(30, 60):  # the secret lies on and around the end of the first line
+        plain = (noise[:n] + " " + INNER.decode() + " " + noise).encode()
+        for data in (plain, gzip.compress((noise + INNER.decode()).encode())):
+            code = base64.b64encode(data).decode()
+            lines = wrap.join(code[i : i + width] for i in range(0, len(code), width))
+            for head in ("", "internationalization\n"):
+                spans = found(f"é\n{head}{lines}\n\ntail")
+                assert "assign" in {k for k, _, _ in spans}
+                assert all(2 + len(head) <= a < b <= 2 + len(head) + len(lines) for _, a, b in spans)
+
+
 def test_decoding_ends_and_is_bounded(monkeypatch):
     assert scan("%25" * 2000)[1] == []
     assert scan(base64.b64encode(b"\x1f\x8b broken stream of bytes").decode())[1:] == ([], 0)
