@@ -11,8 +11,8 @@ points meet in buckets of (size class, block, content of the block) and each buc
 meets, whatever it is.  Buckets with the same members are looked at once.  Equal sets are one node
 from the start.
 
-A bucket never lists its pairs.  A task emits ``FORESTS`` edge-disjoint forests of the surviving pairs of nodes not
-connected yet, best first; these are verified, the connected components are taken, and what is refuted or
+A bucket never lists its pairs.  A task emits a few edge-disjoint forests of the surviving pairs of nodes not
+connected yet, best first (more of them in later rounds); these are verified, the connected components are taken, and what is refuted or
 connected is left out of the next round.  When no pair is emitted all pairs are settled.  Buckets above
 ``PAGE`` nodes are dealt into cells of at most two pages: in the first round every page meets the first page, later
 the pages outside of the bucket's most frequent component meet all others; pages inside of it need
@@ -47,7 +47,9 @@ GROUPS = 64
 SEED = 42
 PAGE = 1024
 LEAF = 32
+# Forests of a cell in the first round, and their growth by round: rounds grow with the logarithm of the refuted.
 FORESTS = 3
+FOREST_GROWTH = 5
 
 
 @dataclass(frozen=True)
@@ -196,7 +198,7 @@ class Tree:
         return x[i], y[j], both[i, j] / sizes[i, j]
 
 
-def forests(a: np.ndarray, b: np.ndarray, bound: np.ndarray, labels: np.ndarray, count: int = FORESTS) -> list[tuple[int, int]]:
+def forests(a: np.ndarray, b: np.ndarray, bound: np.ndarray, labels: np.ndarray, count: int) -> list[tuple[int, int]]:
     """``count`` edge-disjoint spanning forests of the pairs, best bound first, where equal labels are one place."""
     order = np.lexsort((b, a, -bound))
     pairs = list(zip(a[order].tolist(), b[order].tolist(), strict=True))
@@ -224,17 +226,17 @@ def forests(a: np.ndarray, b: np.ndarray, bound: np.ndarray, labels: np.ndarray,
     return taken
 
 
-def bucket_pairs(nodes: list[int], labels: np.ndarray, points: np.ndarray, refuted: list[list[int] | None], like: Likeness) -> list[tuple[int, int]]:
+def bucket_pairs(nodes: list[int], labels: np.ndarray, points: np.ndarray, refuted: list[list[int] | None], like: Likeness, count: int = FORESTS) -> list[tuple[int, int]]:
     """Pairs of a cell that are to be verified."""
     a, b, bound = Tree(points, labels, like).join()
     if len(a) and any(refuted):
         known = {(x, y) for x, others in zip(nodes, refuted, strict=True) for y in others or ()}
         open_ = np.array([(nodes[i], nodes[j]) not in known for i, j in zip(a.tolist(), b.tolist(), strict=True)], dtype=bool)
         a, b, bound = a[open_], b[open_], bound[open_]
-    return [(max(nodes[i], nodes[j]), min(nodes[i], nodes[j])) for i, j in forests(a, b, bound, labels)]
+    return [(max(nodes[i], nodes[j]), min(nodes[i], nodes[j])) for i, j in forests(a, b, bound, labels, count)]
 
 
-def cell_pairs(cells: DataFrame, like: Likeness) -> DataFrame:
+def cell_pairs(cells: DataFrame, like: Likeness, count: int = FORESTS) -> DataFrame:
     """``a, b``: the pairs to verify, from rows ``cell, node, root, counts, refuted``."""
     bounded_batches(cells.sparkSession)
     fields = arrow_schema(cells.sparkSession, "a long, b long")
@@ -246,7 +248,7 @@ def cell_pairs(cells: DataFrame, like: Likeness) -> DataFrame:
         def settled() -> list[tuple[int, int]]:
             # cells are bounded, so one of them fits; a node stands once in each
             points = np.frombuffer(b"".join(h[3] for h in held), dtype="<u4").reshape(len(held), GROUPS).astype(np.int64)
-            return bucket_pairs([h[1] for h in held], np.array([h[2] for h in held]), points, [h[4] for h in held], like)
+            return bucket_pairs([h[1] for h in held], np.array([h[2] for h in held]), points, [h[4] for h in held], like, count)
 
         for batch in batches:
             for row in zip(*(batch.column(n).to_pylist() for n in ("cell", "node", "root", "counts", "refuted")), strict=True):
@@ -349,7 +351,7 @@ def node_links(nodes: DataFrame, docs: DataFrame, length: int = SHINGLE, like: L
             each = wrong.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(wrong.select(F.col("b").alias("node"), F.col("a").alias("other")))
             known = stored(each.groupBy("node").agg(F.collect_set("other").alias("refuted")), "jaccard-refuted")
             cells = cells.join(known, "node", "left")
-        pairs = stored(cell_pairs(cells, like), "jaccard-pairs")
+        pairs = stored(cell_pairs(cells, like, FORESTS * FOREST_GROWTH**turn), "jaccard-pairs")
         if turn and pairs.isEmpty():
             return roots
         found = verified(pairs, texts, length, like)

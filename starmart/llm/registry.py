@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import language, mixing, neighbours, order_minhash, packing, secret_scan, simhash, suffix_dedup, token_counts, toxicity, turn_repair, turn_repair_sql, whitening
+from starmart.llm import jaccard_join, jaccard_join_sql, language, mixing, neighbours, order_minhash, packing, secret_scan, simhash, suffix_dedup, token_counts, toxicity, turn_repair, turn_repair_sql, whitening
 from starmart.llm.common import fold, table
 from starmart.sources.scratch import stored
 
@@ -85,6 +85,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.groups(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,12 +96,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_token_counts, op2_packing, op3_simhash, op4_language, op5_secrets, op6_mixing, op7_neighbours, op8_toxicity, op9_suffix_dedup, op10_order_minhash, op11_turn_repair, op12_whitening, pipeline)
+    named = (op1_token_counts, op2_packing, op3_simhash, op4_language, op5_secrets, op6_mixing, op7_neighbours, op8_toxicity, op9_suffix_dedup, op10_order_minhash, op11_turn_repair, op12_whitening, op13_jaccard_join, pipeline)
     return {f.__name__: f for f in named}
 
 
 def oracles() -> dict[str, str]:
-    return {"op9_suffix_dedup": SUFFIX_DEDUP_SQL, "op11_turn_repair": turn_repair_sql.SQL}
+    return {"op9_suffix_dedup": SUFFIX_DEDUP_SQL, "op11_turn_repair": turn_repair_sql.SQL, "op13_jaccard_join": jaccard_join_sql.SQL}
 
 
 # Bytes are pairs of hexadecimal digits here.
