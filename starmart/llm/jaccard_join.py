@@ -49,7 +49,7 @@ PAGE = 1024
 LEAF = 32
 # Forests of a cell in the first round, and their growth by round: rounds grow with the logarithm of the refuted.
 FORESTS = 3
-FOREST_GROWTH = 5
+FOREST_GROWTH = 16
 
 
 @dataclass(frozen=True)
@@ -356,7 +356,8 @@ def node_links(nodes: DataFrame, docs: DataFrame, length: int = SHINGLE, like: L
             return roots
         found = verified(pairs, texts, length, like)
         checked = found if checked is None else checked.unionByName(found)
-        roots = stored(components(checked.where("near").select("a", "b")), "jaccard-roots")
+        if roots is None or not found.where("near").isEmpty():
+            roots = stored(components(checked.where("near").select("a", "b")), "jaccard-roots")
         turn += 1
 
 
