@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import language, mixing, near_copies, secret_scan
+from starmart.llm import language, mixing, secret_scan, simhash
 from starmart.llm.registry import packed
 from starmart.sources.scratch import stored
 
@@ -23,9 +23,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles alike by 0.8 and more) the row with the
-    least id stays."""
-    return near_copies.keep_one(docs)
+    """Of each group of near copies (fingerprints as in query op3 that reach each other in steps of
+    at most two bits) the row with the least id stays."""
+    return simhash.keep_one(docs)
 
 
 def masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
