@@ -11,8 +11,9 @@ share of its source at any size, and no step holds a source as one group: only
 (source, block) sums meet.
 
 Results: a null source is a source of its own; a null or empty text has no tokens and goes
-with its block; repeated rows are drawn as often as they stand there; an empty table
-gives an empty table, and so do sources without any token.
+with its block; repeated rows are drawn as often as they stand there; a source without any
+token has no weight and costs no budget, and its rows are drawn once; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -117,9 +118,10 @@ def plan(rows: DataFrame, target: Target, budget: int | None, seed: int) -> Plan
     order = F.xxhash64(F.lit(seed), F.lit("order"), "_source", full, "_block")
     before = F.sum("tokens").over(Window.partitionBy("_source").orderBy("_order", "_block"))
     rest = F.col("budget") - full * F.col("source_tokens")
-    drawn = sums.join(weights, sums["_source"].eqNullSafe(weights["_source"])).drop(weights["_source"])
+    drawn = sums.join(weights, sums["_source"].eqNullSafe(weights["_source"]), "left").drop(weights["_source"])
     drawn = drawn.withColumn("_order", order).withColumn("_filled", before)
-    blocks = drawn.select("_source", "_block", "tokens", (full + F.when((rest >= 1) & (F.col("_filled") <= rest), 1).otherwise(0)).cast("int").alias("draws"))
+    passed = (full + F.when((rest >= 1) & (F.col("_filled") <= rest), 1).otherwise(0)).cast("int")
+    blocks = drawn.select("_source", "_block", "tokens", F.when(F.col("source_tokens").isNull(), 1).otherwise(passed).alias("draws"))
     return Plan(a, weights, stored(blocks.where("draws > 0"), "mixing-draws"))
 
 

@@ -124,5 +124,5 @@ def rows_at(docs: DataFrame, best: DataFrame) -> DataFrame:
     # the texts meet the places, so nothing is fingerprinted again and a large group is no hot key
     whole = docs.select(F.struct("*").alias("doc"), F.sha2(text_or_empty(), 256).alias("_digest"))
     held = whole.join(best, F.col("doc.doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha")))
-    turn = F.row_number().over(Window.partitionBy("_id", "_sha").orderBy("_id"))
-    return held.withColumn("_turn", turn).where("_turn = 1").select("doc.*")
+    # combined before the shuffle, so a row that is repeated very often is one row of each task
+    return held.groupBy("_id", "_sha").agg(F.first("doc").alias("doc")).select("doc.*")

@@ -1,16 +1,19 @@
 """Operators that compare rows with each other, against brute force, and the pipeline."""
 
 import hashlib
+import itertools
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starmart.llm import mixing, near_copies, neighbours, registry, simhash, suffix_dedup
+from starmart.llm import mixing, neighbours, registry, simhash, suffix_dedup
 from starmart.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -262,12 +265,52 @@ def test_draws_follow_the_plan(docs):
     assert mixed.columns == df.columns
     assert sum(len((r.text or "").split()) for r in mixed.collect()) == pytest.approx(sum(size.values()) / 2, rel=0.05)
     assert mixing.mixed(df.limit(0)).count() == 0
-    assert mixing.mixed(docs((1, None), (2, ""))).count() == 0
+    # sources without a token stay once, beside others as well
+    assert mixing.mixed(docs((1, None), (2, ""))).count() == 2
+    beside = mixing.mixed(docs((1, None, None, "bare"), (2, " ", None, "bare"), *[(i, "a b c", None, "full") for i in range(3, 9)], (9, "", None, None)))
+    assert sorted(r.doc_id for r in beside.collect()) == list(range(1, 10))
 
 
 # Pipeline ---------------------------------------------------------------
 
 
+def plain_fingerprint(text):
+    """The contract's words: bit by bit, from the hashes of the shingles, repeats included."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    parts = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64(p.encode(), seed=42).intdigest() for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def fingerprint_groups(rows):
+    """{id: least id of its group} of (id, text), all fingerprints against all."""
+    prints, want = defaultdict(list), Groups()
+    for i, text in rows:
+        prints[plain_fingerprint(text)].append(i)
+    for a, b in itertools.combinations(prints, 2):
+        if (a ^ b).bit_count() <= 2:
+            want.link(min(prints[a]), min(prints[b]))
+    least = {i: min(same) for same in prints.values() for i in same}
+    return {i: want.root(m) for i, m in least.items()}
+
+
+def test_fingerprints_and_groups_of_the_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r.doc_id: r for r in registry.op3_simhash(spark, SF).collect()}
+    assert all(got[i].fingerprint == f"{plain_fingerprint(t):016x}" for i, t in rows)
+    assert {i: r.component_id for i, r in got.items()} == fingerprint_groups(rows)
+
+
+def test_one_of_each_group_stays(docs):
+    rows = [(5, None), (4, ""), (9, " \t"), (3, "One  two"), (None, "one two"), (7, "one two"), (7, "one two"), (8, "one two three"), (None, "alone"), (None, "alone")]
+    df = docs(*rows, _id="x", fp=1, _sha="y")
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in kept.collect()) == [(False, 3, "One  two"), (False, 4, ""), (False, 8, "one two three"), (True, 0, "alone")]
+    assert simhash.keep_one(docs(*[(1, "same text")] * 3000)).count() == 1
+    assert simhash.keep_one(df.limit(0)).count() == 0
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = {"documents": docs}
@@ -277,8 +320,8 @@ def test_pipeline_stages(spark):
     assert names == ["language", "near_copies", "secrets", "mixing", "packing"]
     assert all(kept[n].columns == docs.columns for n in names[:-1])
     assert kept["language"].count() >= 0.97 * docs.count()
-    groups = registry.op3_simhash(spark, SF).join(kept["language"].select("doc_id"), "doc_id")
-    assert {r.doc_id for r in kept["near_copies"].select("doc_id").collect()} == {r.m for r in groups.groupBy("component_id").agg(F.min("doc_id").alias("m")).collect()}
+    groups = fingerprint_groups([tuple(r) for r in kept["language"].select("doc_id", "text").collect()])
+    assert sorted(r.doc_id for r in kept["near_copies"].select("doc_id").collect()) == sorted(set(groups.values()))
     assert kept["secrets"].count() == kept["near_copies"].count()
     assert {r.doc_id for r in kept["mixing"].collect()} == {r.doc_id for r in kept["secrets"].collect()}
     packed = kept["packing"]
@@ -287,51 +330,6 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() == packed.count()
 
 
-def planted(draw, n, least, most):
-    """A text of ``n`` random words and one whose five-word similarity to it is in the range."""
-    words = [f"w{draw.randrange(10**6)}" for _ in range(n)]
-    other = list(words)
-    while (like := near_copies.similarity(" ".join(words), " ".join(other))) > most:
-        other[draw.randrange(n)] = f"x{draw.randrange(10**6)}"
-    return (" ".join(words), " ".join(other)) if like >= least else planted(draw, n, least, most)
-
-
-def test_near_copies_stage_finds_planted_pairs(spark, docs):
-    draw, rows, pairs, far = random.Random(4), [], 0, 0
-    for least, most, near in [(0.8, 0.84, True), (0.88, 0.92, True), (0.93, 0.96, True), (0.6, 0.78, False)]:
-        for n in [100, 300, 1000, 2000] * 10:
-            rows += [(len(rows) + i, t) for i, t in enumerate(planted(draw, n, least, most))]
-            pairs, far = pairs + near, far + (not near)
-    stage = dict(corpus_pipeline.STAGES)["near_copies"]
-    kept = {r.doc_id for r in stage(spark, docs(*rows), SF).collect()}
-    assert all(r[0] in kept for r in rows[2 * pairs :])  # below the limit both stay
-    lost = sum(r[0] in kept for r in rows[1 : 2 * pairs : 2])
-    assert lost <= 0.01 * pairs and all(r[0] in kept for r in rows[::2])
-
-
-def test_near_copies_meet_past_a_bucket_of_others(docs):
-    # 30 texts of one template, each with a near copy: a bucket's least is near only one of them
-    draw = random.Random(6)
-    shared = [f"t{i}" for i in range(300)]
-    rows = []
-    for i in range(30):
-        own = [f"d{i}_{j}" for j in range(60)]
-        rows += [(i, " ".join(shared + own)), (100 + i, " ".join([*shared, *own[:-2], "end", "of"]))]
-    rows += [(200, None), (201, " "), (202, "One  two"), (None, "one two"), (203, "one two"), (203, "one two three")]
-    draw.shuffle(rows)
-    df = docs(*rows, node=1, key="k")
-    kept = near_copies.keep_one(df)
-    assert kept.columns == df.columns
-    texts = {r[0]: r[1] for r in rows if r[0] is not None and r[0] < 200}
-    want = Groups()
-    for a in texts:
-        for b in texts:
-            if a < b and near_copies.similarity(texts[a], texts[b]) >= near_copies.SIMILARITY:
-                want.link(a, b)
-    assert {r.doc_id for r in kept.collect()} == {want.root(a) for a in texts} | {200, 202, 203}
-    assert near_copies.keep_one(df.limit(0)).count() == 0
-
-
 def test_edited_digests_are_those_of_the_texts(spark):
     docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     got = {r.doc_id: r for r in registry.op10_order_minhash(spark, SF).collect()}
