@@ -88,7 +88,7 @@ def enlarged(warehouse: Warehouse, copies: int) -> Warehouse:
     big = Warehouse(spark, scratch_path(spark, "bench-big"))
     steps = {c: (warehouse.read(t).agg(F.max(c)).first()[0] or 0) for t, c in ID_OF.items()}
     for table in ("dim_pays", "dim_temps", "dim_meteo"):
-        warehouse.read(table).write.parquet(big.path(table))
+        big.append(table, warehouse.read(table))
     for table in ID_OF:
         df = warehouse.read(table)
         copied = df.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from starmart import codebooks
 from starmart.functions.scalars import severity_index, victims
-from starmart.operators.keys import block_ids, dense_ids
+from starmart.operators.keys import block_ids, dense_ids, first_per_key
 from starmart.schemas import TABLES
 from starmart.sources.scratch import stored
 
 ENTITY_ORDER = ["id_pays", "annee", "pos"]
-ENTITY_KEY = ["id_pays", "cle"]
+# Accident numbers are those of a country and year; another year may use one again.
+ENTITY_KEY = ["id_pays", "annee", "cle"]
 # Fields of a position that was given while reading files.
 POSITION = ["src_file", "src_block", "src_row"]
 
@@ -75,15 +76,31 @@ def number_entities(df: DataFrame, id_col: str, start: int = 1) -> DataFrame:
     return dense_ids(df, id_col, ENTITY_ORDER, start, drop=["pos"])
 
 
-def assign_keys(staging: Staging, starts: Mapping[str, int] | None = None) -> KeyedStaging:
-    """Number every entity in source order, countries and years in turn."""
+def assign_keys(
+    staging: Staging, starts: Mapping[str, int] | None = None, kept: DataFrame | None = None
+) -> KeyedStaging:
+    """Number every entity in source order, countries and years in turn.
+
+    ``kept`` (key and id_accident) are accidents that have a number and keep it.
+    """
     starts = dict(starts or {})
 
     def number(df: DataFrame, id_col: str) -> DataFrame:
         return number_entities(df, id_col, starts.get(id_col, 1))
 
+    def number_accidents(df: DataFrame) -> DataFrame:
+        if kept is None:
+            return number(df, "id_accident")
+        df = stored(df, "accidents")
+        old = df.join(kept.select(*ENTITY_KEY, "id_accident"), ENTITY_KEY)
+        # a number that is listed twice keeps its id once; the others are new rows
+        first = first_per_key(old, ["id_accident"], ["pos"]).select("id_accident", *df.columns)
+        taken = first.select(*ENTITY_KEY, "pos")
+        rest = dense_ids(df.join(taken, [*ENTITY_KEY, "pos"], "left_anti"), "id_accident", ENTITY_ORDER, starts.get("id_accident", 1))
+        return first.unionByName(rest).drop("pos")
+
     return KeyedStaging(
-        number(staging.accidents, "id_accident"),
+        number_accidents(staging.accidents),
         number(staging.places, "id_lieu"),
         number(staging.people, "id_usager"),
         number(staging.vehicles, "id_vehicule"),
@@ -91,9 +108,9 @@ def assign_keys(staging: Staging, starts: Mapping[str, int] | None = None) -> Ke
     )
 
 
-def shaped(df: DataFrame, table: str) -> DataFrame:
-    """The warehouse columns and types of ``table``."""
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[table].fields])
+def shaped(df: DataFrame, table: str, *more: str) -> DataFrame:
+    """The warehouse columns and types of ``table``, and ``more`` columns as they are."""
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[table].fields], *more)
 
 
 def dim_pays(spark: SparkSession) -> DataFrame:
@@ -133,7 +150,7 @@ def with_weather_id(fact: DataFrame, weather: DataFrame) -> DataFrame:
     return fact.join(weather.select("id_pays", "date", "id_meteo"), ["id_pays", "date"], "left")
 
 
-def fact_staging(keyed: KeyedStaging, weather: DataFrame | None = None) -> DataFrame:
+def fact_staging(keyed: KeyedStaging, weather: DataFrame | None = None, with_year: bool = False) -> DataFrame:
     """One row per accident, incomplete ones included, with its source key.
 
     Everything is reduced to one row per accident before joining, so no accident
@@ -161,22 +178,26 @@ def fact_staging(keyed: KeyedStaging, weather: DataFrame | None = None) -> DataF
         victims(*counts.values()).alias("nb_victimes_total"),
         F.coalesce("nb_vehicules", F.lit(1)).alias("nb_vehicules"),
         severity_index(*counts.values()).alias("indice_gravite"),
+        *(["annee"] if with_year else []),
     )
     return fact if weather is None else with_weather_id(fact, weather)
 
 
-def finalize_fact(fact: DataFrame) -> DataFrame:
+def finalize_fact(fact: DataFrame, *more: str) -> DataFrame:
     """Complete rows only, in warehouse types."""
-    return shaped(fact.na.drop(subset=["date", "id_lieu", "id_usager", "id_vehicule"]), "fait_accident")
+    return shaped(fact.na.drop(subset=["date", "id_lieu", "id_usager", "id_vehicule"]), "fait_accident", *more)
 
 
-def build_tables(keyed: KeyedStaging) -> dict[str, DataFrame]:
-    """The warehouse tables that come from accident files, and their source keys."""
-    fact = fact_staging(keyed)
+def build_tables(keyed: KeyedStaging, with_year: bool = False) -> dict[str, DataFrame]:
+    """The warehouse tables that come from accident files, and their source keys.
+
+    ``with_year`` adds the files' year, by which they are stored.
+    """
+    more = ["annee"] if with_year else []
     return {
-        "dim_localisation": shaped(keyed.places, "dim_localisation"),
-        "dim_usager": shaped(keyed.people, "dim_usager"),
-        "dim_vehicule": shaped(keyed.vehicles, "dim_vehicule"),
-        "fait_accident": finalize_fact(fact),
-        "cle_accident": keyed.accidents.select("id_pays", "cle", "id_accident"),
+        "dim_localisation": shaped(keyed.places, "dim_localisation", *more),
+        "dim_usager": shaped(keyed.people, "dim_usager", *more),
+        "dim_vehicule": shaped(keyed.vehicles, "dim_vehicule", *more),
+        "fait_accident": finalize_fact(fact_staging(keyed, with_year=with_year), *more),
+        "cle_accident": keyed.accidents.select(*ENTITY_KEY, "id_accident"),
     }

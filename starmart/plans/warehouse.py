@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starmart import codebooks
 from starmart.operators.checks import check_table
 from starmart.operators.keys import dense_ids, next_id
-from starmart.operators.loading import insert_if_absent, new_records, read_if_present
+from starmart.operators.loading import new_records, rows_to_insert
 from starmart.plans.calendar import calendar_staging, days_of_years, dim_temps, number_days
 from starmart.plans.star import ENTITY_KEY, Staging, assign_keys, build_tables, dim_pays
 from starmart.plans.star_queries import Star
 from starmart.plans.weather import dim_meteo
-from starmart.schemas import LOAD_ORDER, RULES, TABLES
+from starmart.schemas import EXTRA_TABLES, LOAD_ORDER, RULES, TABLES, TableRules
+from starmart.sources import snapshots
 from starmart.sources.raw_accidents import stage_fr, stage_uk
 from starmart.sources.raw_weather import read_weather
 from starmart.sources.scratch import stored
@@ -25,7 +26,8 @@ from starmart.sources.scratch import stored
 # About 50 MB of the few columns a question takes from a dimension.
 BROADCAST_ROWS = 500_000
 
-FACT_LAYOUT = ["id_pays", "annee"]
+YEAR_LAYOUT = ["id_pays", "annee"]
+ENTITY_TABLES = ["dim_localisation", "dim_usager", "dim_vehicule", "fait_accident", "cle_accident"]
 
 ID_OF = {
     "fait_accident": "id_accident",
@@ -35,38 +37,68 @@ ID_OF = {
 }
 
 
+class BrokenRules(ValueError):
+    """A load would break keys or references; nothing of it is published."""
+
+
 class Warehouse:
-    """Parquet tables below one folder.  One writer at a time."""
+    """Parquet tables below one folder, read and loaded version by version (``sources.snapshots``).
 
-    def __init__(self, spark: SparkSession, root: str):
+    Every load is a batch: readers see all of it or nothing, and one that breaks can be run
+    again.  Loads called inside ``with warehouse.batch()`` are one batch together.
+    One writer at a time; a second one is refused when it publishes.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, version: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.version = version
+        self.folder = snapshots.Folder(spark, self.root)
+        self._batch: snapshots.Batch | None = None
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def snapshot(self) -> snapshots.Snapshot:
+        """The open batch, the version asked for, or the current one."""
+        if self._batch is not None:
+            return self._batch
+        return snapshots.latest(self.folder) if self.version is None else snapshots.opened(self.folder, self.version)
+
+    @contextmanager
+    def batch(self) -> Iterator[snapshots.Batch]:
+        """One version for all writes inside; an error publishes nothing."""
+        if self._batch is not None:
+            yield self._batch
+            return
+        self._batch = snapshots.Batch(snapshots.latest(self.folder))
+        try:
+            yield self._batch
+            self._batch.publish()
+        finally:
+            self._batch = None
+
     def read(self, table: str) -> DataFrame:
-        if table not in TABLES:
-            return self.spark.read.parquet(self.path(table))
-        df = self.spark.read.schema(TABLES[table]).parquet(self.path(table))
-        return df.select(*TABLES[table].fieldNames())
+        return self.snapshot().read(table, TABLES.get(table) or EXTRA_TABLES[table])
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Add rows in the table's layout.
 
-        The fact is stored by country and year, so that country policies and
-        year filters read only their folders.  The rebalance gives each folder
-        few files, and a country that holds most rows several of them.
+        Tables that come from accident files are stored by country and year, so that country policies
+        and year filters read only their folders and a corrected year is exchanged as a whole.
+        The year is that of the rows' ``annee``, or of the fact's date.  The rebalance gives
+        each folder few files, and a country that holds most rows several of them.
         """
-        if table == "fait_accident":
-            rows = rows.withColumn("annee", F.year("date")).hint("rebalance", *FACT_LAYOUT)
-            rows.write.mode("append").partitionBy(*FACT_LAYOUT).parquet(self.path(table))
-        else:
-            rows.write.mode("append").parquet(self.path(table))
+        with self.batch() as batch:
+            if table in ENTITY_TABLES:
+                if "annee" not in rows.columns:
+                    rows = rows.withColumn("annee", F.year("date") if "date" in rows.columns else F.lit(0))
+                batch.append(table, rows.hint("rebalance", *YEAR_LAYOUT), YEAR_LAYOUT)
+            else:
+                batch.append(table, rows)
 
     def has(self, table: str) -> bool:
-        like = self.spark.createDataFrame([], T.StructType([]))
-        return read_if_present(like, self.path(table)) is not None
+        return self.snapshot().has(table)
 
     def broadcast_if_small(self, table: str) -> DataFrame:
         """Marked for broadcast only when counted small; the count reads file footers."""
@@ -92,38 +124,66 @@ class Warehouse:
         whatever ids the batch came with, and stored days keep theirs.
         """
         keys = RULES[table].unique
-        if len(keys) > 1 and self.has(table):
-            (id_col,), natural = keys[0], keys[1]
-            known = self.read(table)
-            new = new_records(rows, known, natural).drop(id_col)
-            ids = F.col(id_col).cast(rows.schema[id_col].dataType).alias(id_col)
-            numbered = dense_ids(new, id_col, natural, start=next_id(known, id_col))
-            rows = numbered.select(*[ids if c == id_col else c for c in rows.columns])
-        insert_if_absent(rows, self.path(table), keys, keys[0])
-
-    def load_accidents(self, staging: Staging) -> None:
+        with self.batch() as batch:
+            known = self.read(table) if self.has(table) else None
+            if len(keys) > 1 and known is not None:
+                (id_col,), natural = keys[0], keys[1]
+                new = new_records(rows, known, natural).drop(id_col)
+                ids = F.col(id_col).cast(rows.schema[id_col].dataType).alias(id_col)
+                numbered = dense_ids(new, id_col, natural, start=next_id(known, id_col))
+                rows = numbered.select(*[ids if c == id_col else c for c in rows.columns])
+            batch.append(table, rows_to_insert(rows, known, keys, keys[0]))
+
+    def load_accidents(self, staging: Staging, corrected: Sequence[tuple[int, int]] = (), check: bool = True) -> None:
         """Append the accidents whose source key is not stored; new keys go on above the old.
 
-        Incomplete accidents are remembered as well, so that their people and
-        places are not loaded again.  The key table is written last.
+        Incomplete accidents are remembered as well, so that their people and places are
+        not loaded again.  ``corrected`` names (country, year) pairs that ``staging`` holds anew and in whole:
+        their stored rows are left out of the new version, accidents that were known keep their id, and
+        people, places and vehicles are new rows.  With ``check`` the references of the new
+        facts are looked up before anything is published.
         """
-        starts = None
-        if self.has("cle_accident"):
-            known = self.read("cle_accident")
-            accidents = stored(new_records(staging.accidents, known, ENTITY_KEY), "new-accidents")
-            fresh = accidents.select(*ENTITY_KEY).distinct()
-            staging = Staging(
-                accidents,
-                *[
-                    getattr(staging, part).join(fresh, ENTITY_KEY, "left_semi")
-                    for part in ("places", "people", "vehicles")
-                ],
-            )
-            starts = {id_col: next_id(self.read(table), id_col) for table, id_col in ID_OF.items()}
-            starts["id_accident"] = next_id(known, "id_accident")
-        tables = build_tables(assign_keys(staging, starts))
-        for name in [*(t for t in LOAD_ORDER if t in tables), "cle_accident"]:
-            self.append(name, tables[name])
+        with self.batch() as batch:
+            starts, kept = None, None
+            if self.has("cle_accident"):
+                known = self.read("cle_accident")
+                starts = {id_col: next_id(self.read(table), id_col) for table, id_col in ID_OF.items()}
+                starts["id_accident"] = next_id(known, "id_accident")
+                redone = self._of_years(corrected)
+                if corrected:
+                    kept = stored(known.where(redone), "corrected-keys")
+                    known = known.where(~redone)
+                    for table in ENTITY_TABLES:
+                        batch.drop(table, [f"id_pays={c}/annee={y}" for c, y in corrected])
+                accidents = stored(new_records(staging.accidents, known, ENTITY_KEY), "new-accidents")
+                fresh = accidents.select(*ENTITY_KEY).distinct()
+                rest = [getattr(staging, part).join(fresh, ENTITY_KEY, "left_semi") for part in ("places", "people", "vehicles")]
+                staging = Staging(accidents, *rest)
+            tables = build_tables(assign_keys(staging, starts, kept), with_year=True)
+            for name in [*(t for t in LOAD_ORDER if t in tables), "cle_accident"]:
+                self.append(name, tables[name])
+            if check and self.has("dim_pays"):
+                self._check_new(batch)
+
+    @staticmethod
+    def _of_years(pairs: Sequence[tuple[int, int]]) -> Column:
+        return reduce(lambda a, b: a | b, [(F.col("id_pays") == c) & (F.col("annee") == y) for c, y in pairs], F.lit(False))
+
+    def _check_new(self, batch: snapshots.Batch) -> None:
+        """References and widths of the rows this batch wrote; looks at new rows only."""
+        before = batch.base.parts
+        new = {t: [p for p in parts if p not in before.get(t, [])] for t, parts in batch.parts.items()}
+        written = snapshots.Snapshot(batch.folder, batch.version, {t: p for t, p in new.items() if p and t in RULES})
+        broken = []
+        for name in written.parts:
+            rules = RULES[name]
+            # keys are given by this load above all stored ones, so what is left to check are references and widths
+            rules = TableRules([], rules.foreign, rules.widths)
+            tables = {name: written.read(name, TABLES[name]), **{p: self.read(p) for _, p, _ in rules.foreign}}
+            broken.append(check_table(name, tables, rules))
+        found = reduce(DataFrame.unionByName, broken).where("broken > 0").collect() if broken else []
+        if found:
+            raise BrokenRules("; ".join(f"{r['table']}: {r['rule']} broken by {r['broken']}" for r in found))
 
     def check(self) -> DataFrame:
         """Broken unique, foreign-key and width rules of every table."""

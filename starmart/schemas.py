@@ -52,6 +52,12 @@ TABLES = {
     ),
 }
 
+# Kept beside the warehouse's own tables: which source key has which id, and which files were taken.
+EXTRA_TABLES = {
+    "cle_accident": _struct("id_pays int, annee int, cle string, id_accident bigint"),
+    "livraison": _struct("id_pays int, annee int, genre string, fichier string, taille bigint, etat string"),
+}
+
 
 @dataclass(frozen=True)
 class TableRules:

@@ -72,13 +72,13 @@ def fr_accidents(layout: Layout) -> DataFrame:
 
 def fr_places(layout: Layout) -> DataFrame:
     raw = [_maybe(layout.columns, c).alias(c) for c in ("catr", "vma")]
-    return layout.rows.select(F.col("Num_Acc").alias("cle"), position().alias("lieu_pos"), *raw)
+    return layout.rows.select(_file_year().alias("annee"), F.col("Num_Acc").alias("cle"), position().alias("lieu_pos"), *raw)
 
 
 def fr_located(accidents: DataFrame, places: DataFrame) -> DataFrame:
     """Accidents with their place rows; repeats of a place row stay, in file order."""
     lat, lon = geo.degrees_pair(F.col("lat"), F.col("long"))
-    return accidents.join(places, "cle", "left").select(
+    return accidents.join(places, ["annee", "cle"], "left").select(
         "id_pays",
         "annee",
         "cle",
