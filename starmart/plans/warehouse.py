@@ -18,8 +18,8 @@ from starmart.plans.star import ENTITY_KEY, Staging, assign_keys, build_tables,
 from starmart.plans.star_queries import Star
 from starmart.plans.weather import dim_meteo
 from starmart.schemas import EXTRA_TABLES, LOAD_ORDER, RULES, TABLES, TableRules
-from starmart.sources import snapshots
-from starmart.sources.raw_accidents import stage_fr, stage_uk
+from starmart.sources import deliveries, snapshots
+from starmart.sources.raw_accidents import stage_fr, stage_uk, years_without_index
 from starmart.sources.raw_weather import read_weather
 from starmart.sources.scratch import stored
 
@@ -165,6 +165,27 @@ class Warehouse:
             if check and self.has("dim_pays"):
                 self._check_new(batch)
 
+    def load_files(self, raw: Mapping[str, str], years: Sequence[int] | None = None, check: bool = True) -> deliveries.Plan:
+        """Take the delivered accident years that are complete and not taken yet, in one version.
+
+        A corrected year (other files than were taken, or other sizes) takes the place of the stored
+        one.  Gives what became of every delivered year; with nothing to take no version is made.
+        """
+        spark = self.spark
+        kinds = [(deliveries.FR, raw["accidents_fr"]), (deliveries.UK, raw["accidents_uk"])]
+        files = stored(reduce(DataFrame.unionByName, [deliveries.delivered(spark, root, c, years) for c, root in kinds]), "deliveries")
+        ledger = self.read("livraison") if self.has("livraison") else None
+        made = deliveries.plan(deliveries.year_states(files, ledger))
+        made = made.without([(deliveries.UK, y) for y in years_without_index(spark, raw["accidents_uk"], made.years(deliveries.UK))])
+        if not made.wanted:
+            return made
+        with self.batch() as batch:
+            stages = [(deliveries.FR, stage_fr, raw["accidents_fr"]), (deliveries.UK, stage_uk, raw["accidents_uk"])]
+            parts = [stage(spark, root, made.years(c)) for c, stage, root in stages if made.years(c)]
+            self.load_accidents(reduce(Staging.union, parts), made.corrected, check)
+            batch.replace("livraison", deliveries.recorded(files, made, ledger).coalesce(1))
+        return made
+
     @staticmethod
     def _of_years(pairs: Sequence[tuple[int, int]]) -> Column:
         return reduce(lambda a, b: a | b, [(F.col("id_pays") == c) & (F.col("annee") == y) for c, y in pairs], F.lit(False))
@@ -199,12 +220,15 @@ class Warehouse:
 
 
 def build_warehouse(spark: SparkSession, raw: Mapping[str, str], root: str, years=None) -> Warehouse:
-    """From raw folders (accidents_fr, accidents_uk, meteo_fr, meteo_uk) to a loaded warehouse."""
+    """From raw folders (accidents_fr, accidents_uk, meteo_fr, meteo_uk) to a loaded warehouse, as one version.
+
+    Run again over more files it loads what is new or corrected.
+    """
     years = list(years or codebooks.WAREHOUSE_YEARS)
     warehouse = Warehouse(spark, root)
-    warehouse.load_dimension("dim_pays", dim_pays(spark))
-    warehouse.load_dimension("dim_temps", dim_temps(number_days(calendar_staging(days_of_years(spark, years)))))
-    warehouse.load_dimension("dim_meteo", dim_meteo(read_weather(spark, raw["meteo_fr"], raw["meteo_uk"], years)))
-    accidents_fr = stage_fr(spark, raw["accidents_fr"], years)
-    warehouse.load_accidents(accidents_fr.union(stage_uk(spark, raw["accidents_uk"], years)))
+    with warehouse.batch():
+        warehouse.load_dimension("dim_pays", dim_pays(spark))
+        warehouse.load_dimension("dim_temps", dim_temps(number_days(calendar_staging(days_of_years(spark, years)))))
+        warehouse.load_dimension("dim_meteo", dim_meteo(read_weather(spark, raw["meteo_fr"], raw["meteo_uk"], years)))
+        warehouse.load_files(raw, years)
     return warehouse

@@ -12,9 +12,9 @@ from starmart import codebooks
 from starmart.functions import dates, geo, scalars
 from starmart.plans.star import Staging
 from starmart.sources.columns import find_by_words, find_field
-from starmart.sources.delimited import Layout, list_files, manifest, position, read_layouts
+from starmart.sources.deliveries import FR, KINDS, UK
+from starmart.sources.delimited import Layout, header_names, list_files, manifest, position, read_layouts
 
-FR, UK = 1, 2
 POSITION_TYPE = "struct<src_file:string,src_block:bigint,src_row:bigint>"
 
 
@@ -31,6 +31,11 @@ def _maybe(columns: list[str], name: str | None) -> Column:
     return F.col(f"`{name}`") if name and name in columns else _no_text()
 
 
+def files_of_years(spark: SparkSession, root: str, pattern: str, years: Sequence[int] | None) -> DataFrame:
+    files = list_files(spark, root, pattern)
+    return files if years is None else files.filter(dates.last_year_in_name(F.col("name")).isin(list(years)))
+
+
 def read_kind(
     spark: SparkSession,
     root: str,
@@ -42,10 +47,7 @@ def read_kind(
 
     Files of other years are not opened.
     """
-    files = list_files(spark, root, pattern)
-    if years is not None:
-        files = files.filter(dates.last_year_in_name(F.col("name")).isin(list(years)))
-    described = manifest(files)
+    described = manifest(files_of_years(spark, root, pattern, years))
     frames = [shape(layout) for layout in read_layouts(spark, described)]
     if not frames:
         raise FileNotFoundError(f"no {pattern} below {root}")
@@ -123,13 +125,13 @@ def fr_vehicles(layout: Layout) -> DataFrame:
 
 
 def stage_fr(spark: SparkSession, root: str, years: Sequence[int] | None = None) -> Staging:
-    accidents = read_kind(spark, root, "caracteristiques_*.csv", fr_accidents, years)
-    places = read_kind(spark, root, "lieux_*.csv", fr_places, years)
+    accidents = read_kind(spark, root, KINDS[FR]["caracteristiques"], fr_accidents, years)
+    places = read_kind(spark, root, KINDS[FR]["lieux"], fr_places, years)
     return Staging(
         accidents.select("id_pays", "annee", "cle", "date", "pos"),
         fr_located(accidents, places),
-        read_kind(spark, root, "usagers_*.csv", fr_people, years),
-        read_kind(spark, root, "vehicules_*.csv", fr_vehicles, years),
+        read_kind(spark, root, KINDS[FR]["usagers"], fr_people, years),
+        read_kind(spark, root, KINDS[FR]["vehicules"], fr_vehicles, years),
     )
 
 
@@ -204,13 +206,30 @@ def uk_vehicles(layout: Layout) -> DataFrame:
     )
 
 
+def years_without_index(spark: SparkSession, root: str, years: Sequence[int]) -> list[int]:
+    """Years with a collision file that has no index column; only headers are looked at."""
+    files = files_of_years(spark, root, KINDS[UK]["collision"], years)
+    heads = [(r["name"], r["path"]) for r in files.collect()]
+    if not heads:
+        return []
+    first = (
+        spark.read.text([path for _, path in heads])
+        .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+        .where("at = 0")
+        .withColumn("place", F.monotonically_increasing_id())
+        .groupBy("path")
+        .agg(F.min_by("value", "place").alias("line"))
+    )
+    year = dates.last_year_in_name(F.element_at(F.split("path", "/"), -1)).alias("annee")
+    return sorted({r["annee"] for r in first.select(year, "line").collect() if not find_field(header_names(r["line"].lstrip("\ufeff"), ","), "index")})
+
+
 def stage_uk(
     spark: SparkSession, root: str, years: Sequence[int] | None = None, legacy_speed: bool = False
 ) -> Staging:
-    prefix = "dft-road-casualty-statistics"
-    collisions = read_kind(spark, root, f"{prefix}-collision-*.csv", uk_collisions, years)
-    people = read_kind(spark, root, f"{prefix}-casualty-*.csv", uk_people, years)
-    vehicles = read_kind(spark, root, f"{prefix}-vehicle-*.csv", uk_vehicles, years)
+    collisions = read_kind(spark, root, KINDS[UK]["collision"], uk_collisions, years)
+    people = read_kind(spark, root, KINDS[UK]["casualty"], uk_people, years)
+    vehicles = read_kind(spark, root, KINDS[UK]["vehicle"], uk_vehicles, years)
     return Staging(
         collisions.select("id_pays", "annee", "cle", "date", "pos"),
         uk_located(collisions, legacy_speed),

@@ -60,13 +60,19 @@ def uk_readings(layout: Layout) -> DataFrame:
 
 
 def read_weather(spark: SparkSession, fr_root: str, uk_root: str, years: list[int] | None = None) -> DataFrame:
-    """Readings of both countries; missing files are an error."""
+    """Readings of both countries; missing files are an error, and so is having none of ``years``."""
     frames = []
     for root, pattern, separators, shape in [
         (fr_root, "meteo_fr_*.csv", [";", ","], fr_readings),
         (uk_root, "meteo_uk_*.csv", [","], uk_readings),
     ]:
-        described = manifest(list_files(spark, root, pattern), separators)
+        files = list_files(spark, root, pattern)
+        if years is not None:
+            # a file named for other years is not opened; one without a year, or for a span of years, is
+            named = F.regexp_extract_all("name", F.lit(r"\d{4}"), F.lit(0))
+            one = F.size(named) == 1
+            files = files.where(~one | F.element_at(F.when(one, named), 1).cast("int").isin(list(years)))
+        described = manifest(files, separators)
         layouts = read_layouts(spark, described)
         if not layouts:
             raise FileNotFoundError(f"no {pattern} below {root}")
