@@ -143,6 +143,8 @@ class Warehouse:
         people, places and vehicles are new rows.  With ``check`` the references of the new
         facts are looked up before anything is published.
         """
+        parts = ("accidents", "places", "people", "vehicles")
+        staging = Staging(*[getattr(staging, p).withColumn("cle", F.col("cle").cast("string")) for p in parts])
         with self.batch() as batch:
             starts, kept = None, None
             if self.has("cle_accident"):
@@ -157,7 +159,7 @@ class Warehouse:
                         batch.drop(table, [f"id_pays={c}/annee={y}" for c, y in corrected])
                 accidents = stored(new_records(staging.accidents, known, ENTITY_KEY), "new-accidents")
                 fresh = accidents.select(*ENTITY_KEY).distinct()
-                rest = [getattr(staging, part).join(fresh, ENTITY_KEY, "left_semi") for part in ("places", "people", "vehicles")]
+                rest = [getattr(staging, part).join(fresh, ENTITY_KEY, "left_semi") for part in parts[1:]]
                 staging = Staging(accidents, *rest)
             tables = build_tables(assign_keys(staging, starts, kept), with_year=True)
             for name in [*(t for t in LOAD_ORDER if t in tables), "cle_accident"]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-GROUPS = ["star", "cube", "scalars", "conforming", "ingest", "loading", "policies", "checks"]
+GROUPS = ["star", "cube", "scalars", "conforming", "ingest", "loading", "raw", "policies", "checks"]
 
 
 def _merged(attribute: str) -> dict:
