@@ -109,7 +109,7 @@ def main() -> None:
 
     view_path = scratch_path(spark, "bench-cube")
     times["v1_cube_build_and_write"] = round(timed(lambda: cube.write_cube(cube.cube_build(star), view_path)), 3)
-    view = spark.read.parquet(view_path)
+    view = cube.read_cube(spark, view_path)
     for name, request in REQUESTS.items():
         times[name] = best(lambda: request(view))
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starmart.functions.scalars import mean2, round2, zone
 from starmart.operators.rollup import (
@@ -15,6 +16,9 @@ from starmart.operators.rollup import (
     rollup_grain,
 )
 from starmart.plans.star_queries import DAY_KEY, Star
+from starmart.sources import snapshots
+
+VIEW = "cube"
 
 KEYS = [
     "nom_pays",
@@ -108,10 +112,17 @@ def refresh_incremental(stored_grain: DataFrame, new_rows: Star) -> DataFrame:
 def write_cube(view: DataFrame, path: str) -> None:
     """Store the view by level, so that a request reads the level it needs only.
 
-    The whole of an older view goes, also levels that the new one lacks.
+    A refresh is a new version beside the old one: requests that are open go on reading that, a
+    refresh that breaks leaves it in place, and levels that the new view lacks are gone with it.
     """
-    writer = view.hint("rebalance", "gid").write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy("gid").parquet(path)
+    batch = snapshots.Batch(snapshots.latest(snapshots.Folder(view.sparkSession, path)))
+    batch.replace(VIEW, view.hint("rebalance", "gid"), ["gid"])
+    batch.publish()
+
+
+def read_cube(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The current version of the stored view; filters on ``gid`` choose folders."""
+    return snapshots.latest(snapshots.Folder(spark, path)).read(VIEW, schema)
 
 
 def _weighted() -> Column:

@@ -169,11 +169,31 @@ def sink_roundtrip(spark, sf_dir):
     return rows.select(*[F.col(f.name).cast(f.dataType) for f in orders.schema.fields])
 
 
-PROFILED = ["customer", "orders", "part"]
+PROFILED = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "lineitem": [
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus", "l_shipdate",
+    ],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "embeddings": ["vec_id", "embedding", "label"],
+    "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "conversations": ["conv_id", "turn", "role", "text"],
+}
 
 
 def profile_tables(spark, sf_dir):
-    return profile_sources({name: table(spark, sf_dir, name) for name in PROFILED}).drop("erreur")
+    """Every given table, and one that was announced and did not come."""
+    sources = {name: table(spark, sf_dir, name) for name in PROFILED}
+    return profile_sources({**sources, "retard": FileNotFoundError("no file")})
 
 
 QUERIES = {
@@ -189,11 +209,6 @@ QUERIES = {
     "profile_sources": profile_tables,
 }
 
-PROFILE_COLUMNS = {
-    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
-    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
-    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
-}
 YEAR = "CAST(year(o_orderdate) AS INTEGER)"
 
 ORACLES = {
@@ -238,10 +253,15 @@ ORACLES = {
         FROM region, (SELECT unnest(range(1990, 2004)) AS y)""",
     "sink_roundtrip": "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders",
     "profile_sources": " UNION ALL ".join(
-        f"""SELECT '{t}' AS source, CAST({i} AS INTEGER) AS position, '{c}' AS colonne, count(*) AS lignes,
-                   count(*) FILTER (WHERE {c} IS NULL) AS nuls, min(CAST({c} AS VARCHAR)) AS minimum,
-                   max(CAST({c} AS VARCHAR)) AS maximum FROM {t}"""
-        for t, columns in PROFILE_COLUMNS.items()
-        for i, c in enumerate(columns, 1)
+        [
+            f"""SELECT '{t}' AS source, CAST({i} AS INTEGER) AS position, '{c}' AS colonne, count(*) AS lignes,
+                       count(*) FILTER (WHERE {c} IS NULL) AS nuls,
+                       {"NULL" if c == "embedding" else f"min(CAST({c} AS VARCHAR))"} AS minimum,
+                       {"NULL" if c == "embedding" else f"max(CAST({c} AS VARCHAR))"} AS maximum,
+                       CAST(NULL AS VARCHAR) AS erreur FROM {t}"""
+            for t, columns in PROFILED.items()
+            for i, c in enumerate(columns, 1)
+        ]
+        + ["SELECT 'retard', NULL, NULL, NULL, NULL, NULL, NULL, 'no file'"]
     ),
 }

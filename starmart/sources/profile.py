@@ -5,12 +5,21 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def profile(df: DataFrame, source: str) -> DataFrame:
-    """Per column: position, rows, nulls, least and greatest value, in a single aggregate."""
+    """Per column: position, rows, nulls, least and greatest value as text, in a single aggregate.
+
+    Arrays, maps and structs have no least and greatest value.
+    """
+
+    def text(name: str) -> Column:
+        nested = isinstance(df.schema[name].dataType, (T.ArrayType, T.MapType, T.StructType))
+        return F.lit(None).cast("string") if nested else F.col(f"`{name}`").cast("string")
+
     stats = [
         F.struct(
             F.lit(source).alias("source"),
@@ -18,8 +27,8 @@ def profile(df: DataFrame, source: str) -> DataFrame:
             F.lit(c).alias("colonne"),
             F.count(F.lit(1)).alias("lignes"),
             F.count_if(F.col(f"`{c}`").isNull()).alias("nuls"),
-            F.min(F.col(f"`{c}`").cast("string")).alias("minimum"),
-            F.max(F.col(f"`{c}`").cast("string")).alias("maximum"),
+            F.min(text(c)).alias("minimum"),
+            F.max(text(c)).alias("maximum"),
         )
         for i, c in enumerate(df.columns, 1)
     ]

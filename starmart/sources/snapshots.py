@@ -83,11 +83,16 @@ class Snapshot:
     def has(self, table: str) -> bool:
         return table in self.parts
 
-    def read(self, table: str, schema: T.StructType) -> DataFrame:
-        """The table with the columns of ``schema``; partition columns may be among them or not."""
+    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
+        """The table with the columns of ``schema``; partition columns may be among them or not.
+
+        Without a schema it is that of the files, with the partition columns and without the lot.
+        """
         spark = self.folder.spark
         base = f"{self.folder.root}/{table}"
         paths = [f"{base}/{part}" for part in self.parts.get(table, [])]
+        if schema is None:
+            return spark.read.option("basePath", base).parquet(*paths).drop("lot")
         if not paths:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*schema.fieldNames())

@@ -1,6 +1,7 @@
 """Detection over whole files, on files written here."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from starmart.plans import cube
 from starmart.sources.delimited import list_files, manifest, read_all
@@ -38,8 +39,26 @@ def test_no_files(spark, tmp_path):
 def test_a_refresh_replaces_all_levels(spark, tmp_path):
     path = str(tmp_path / "view")
     cube.write_cube(spark.createDataFrame([(0, 1), (3, 2), (7, 3)], "gid int, n int"), path)
+    before = cube.read_cube(spark, path)
     cube.write_cube(spark.createDataFrame([(7, 9)], "gid int, n int"), path)
-    assert [tuple(r) for r in spark.read.parquet(path).select("gid", "n").collect()] == [(7, 9)]
+    assert [tuple(r) for r in cube.read_cube(spark, path).select("gid", "n").collect()] == [(7, 9)]
+    # who opened the view earlier goes on reading what was opened, and a refresh that breaks changes nothing
+    assert sorted(tuple(r) for r in before.select("gid", "n").collect()) == [(0, 1), (3, 2), (7, 3)]
+    broken = spark.createDataFrame([(1, 1)], "gid int, n int").withColumn("n", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        cube.write_cube(broken, path)
+    assert [tuple(r) for r in cube.read_cube(spark, path).select("gid", "n").collect()] == [(7, 9)]
+
+
+def test_a_request_reads_one_level_of_the_stored_view(spark):
+    from starmart.registry.cube import stored_view
+
+    view = stored_view(spark, "/root/testdata/sf0.001")
+    for question in (cube.weather_rank, cube.serious_cells, cube.smoothed_zones):
+        plan = question(view)._jdf.queryExecution().executedPlan().toString()
+        scan = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+        assert plan.count("FileScan") == 1 and "(gid#" in scan.split("PartitionFilters:")[1].split("]")[0]
+        assert "lineitem" not in plan and "orders" not in plan
 
 
 def test_scratch_is_shared(spark):
