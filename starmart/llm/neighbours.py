@@ -3,15 +3,21 @@
 Vectors are projected on many single directions, and each projection is kept as a sorted array.
 A query opens a window around its own value in every array and widens all of them step by
 step (virtual rehashing: a wider window is a coarser hash of the same array).  A vector that
-lies in the windows of more than a threshold of the directions is verified by its exact
-inner product.  A query ends when its k-th best verified vector is no farther than the
+lies in the windows of at least a share of the directions (``THRESHOLD``) is verified by its exact
+inner product.  A query ends when its k-th best verified vector is no farther than ``SLACK`` times the
 radius that the windows stand for, or when every vector is verified.
 
+Windows are ranks: a vector collides in a direction if its rank there lies between the window's
+ends.  The first windows, which stand for a little less than the distance at which sample vectors of the
+block have their k-th neighbour, are counted by comparing ranks; as they widen only the ranks
+that come in are added.
+
 The largest inner product is a nearest neighbour after one more component is added, which
 gives all indexed vectors the same length.
 
 Vectors are dealt into blocks and queries into chunks; each pair of both is one task's group
-of bounded size, and the best of a query's blocks are merged.  A query's result can hold no
+of bounded size, and the best of a query's blocks are merged.  With vectors that are nearly equally far
+from each other no block can be left out for a query: its windows reach into all of them.  A query's result can hold no
 more than k + 1 equal vectors, so of equal ones only those of least id are indexed: exact,
 and a vector with very many copies makes no large group.
 
@@ -31,15 +37,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Ranks are unsigned 16-bit numbers, so a block has less than 65,536 rows.
 BLOCK_ROWS = 32_768
-CHUNK_QUERIES = 1_024
+# A block's arrays are built once for so many queries.
+CHUNK_QUERIES = 16_384
 DIRECTIONS = 128
-# Half the window's width in units of the radius, and the share of windows that must hold a vector.
-HALF_WIDTH = 1.0
+# The share of windows, half as wide as twice the radius, that must hold a vector.
 THRESHOLD = 0.6
-WIDENING = 1.12
+# How much farther than the radius the k-th neighbour may be: windows of that radius hold most of what is that near.
+SLACK = 1.06
+WIDENING = 1.03
+# From this step on windows grow faster: the block has no neighbours where its sample vectors had them.
+PATIENCE = 10
+FASTER = 1.12
 # Vectors of a block from which the first radius is taken.
-RADIUS_SAMPLE = 256
+RADIUS_SAMPLE = 16
 
 
 def directions(dim: int, count: int, seed: int = 42) -> np.ndarray:
@@ -50,29 +62,48 @@ def directions(dim: int, count: int, seed: int = 42) -> np.ndarray:
 
 
 class Index:
-    """Sorted projections of one block."""
+    """Sorted projections of one block, and every vector's rank in each of them."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float) -> None:
-        self.ids, self.vectors, self.longest = ids, vectors, longest
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float, k: int) -> None:
+        self.ids, self.vectors, self.longest, self.verified = ids, vectors, longest, 0
         n, dim = vectors.shape
         rest = np.sqrt(np.maximum(longest**2 - np.einsum("ij,ij->i", vectors, vectors), 0))
         self.axes = directions(dim + 1, DIRECTIONS)
-        projected = np.concatenate([vectors, rest[:, None]], axis=1) @ self.axes
-        order = np.argsort(projected, axis=0, kind="stable")
-        # all arrays in one, each moved by an offset that keeps them apart
+        projected = np.ascontiguousarray((np.concatenate([vectors, rest[:, None]], axis=1) @ self.axes).T)
+        self.order = np.argsort(projected, axis=1, kind="stable").astype(np.int32)
+        # all arrays in one, each moved by an offset that keeps them apart, so that one search looks into all of them
         self.step = 4 * float(np.abs(projected).max()) + 1
         self.offset = np.arange(DIRECTIONS) * self.step
-        self.sorted = (np.take_along_axis(projected, order, axis=0) + self.offset).T.ravel()
-        self.order = order.T.ravel()
-        self.low_end = np.arange(DIRECTIONS) * n
-        self.first_radius = self._near()
-
-    def _near(self) -> float:
-        """A small distance between vectors of the block: where windows start."""
-        some = self.vectors[:: max(1, len(self.vectors) // RADIUS_SAMPLE)]
-        squares = np.maximum(2 * self.longest**2 - 2 * some @ some.T, 0)
-        apart = squares[~np.eye(len(some), dtype=bool)]
-        return math.sqrt(float(np.quantile(apart, 0.01))) * 0.75 if len(apart) else self.longest
+        self.sorted = (np.take_along_axis(projected, self.order, axis=1) + self.offset[:, None]).ravel()
+        self.first_rank = np.arange(DIRECTIONS) * n
+        self.ranks = np.empty((DIRECTIONS, n), dtype=np.uint16)
+        np.put_along_axis(self.ranks, self.order, np.arange(n, dtype=np.uint16)[None, :], axis=1)
+        self.first_radius = self._near(k)
+
+    def _near(self, k: int) -> float:
+        """Where windows start: within reach of the k-th neighbour of the densest sample vector."""
+        n = len(self.vectors)
+        some = self.vectors[:: max(1, n // RADIUS_SAMPLE)][:RADIUS_SAMPLE]
+        squares = np.maximum(2 * self.longest**2 - 2 * some @ self.vectors.T, 0)
+        near = np.partition(squares, min(k, n - 1), axis=1)[:, min(k, n - 1)]
+        return max(math.sqrt(float(near.min())) / SLACK, 0.05 * self.longest)
+
+    def ends(self, at: np.ndarray, half: float) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of the windows' ends in every direction."""
+        n = len(self.ids)
+        low = np.searchsorted(self.sorted, at - half + self.offset, "left") - self.first_rank
+        high = np.searchsorted(self.sorted, at + half + self.offset, "right") - self.first_rank
+        return np.clip(low, 0, n), np.clip(high, 0, n)
+
+    def collisions(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """In how many windows each vector lies; ranks below a window wrap around to large numbers."""
+        n = len(self.ids)
+        counts, moved, inside = np.zeros(n, dtype=np.uint8), np.empty(n, dtype=np.uint16), np.empty(n, dtype=bool)
+        for ranks, a, b in zip(self.ranks, low.tolist(), high.tolist(), strict=True):
+            np.subtract(ranks, np.uint16(a), out=moved)
+            np.less(moved, np.uint16(b - a), out=inside)
+            np.add(counts, inside.view(np.uint8), out=counts)
+        return counts.astype(np.int64)
 
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and inner products of the ``k`` best found, best first."""
@@ -80,29 +111,18 @@ class Index:
         at = np.append(query, 0.0) @ self.axes
         lengths = self.longest**2 + float(query @ query)
         need = math.ceil(THRESHOLD * DIRECTIONS)
-        counts = np.zeros(n, dtype=np.int64)
         open_ = np.ones(n, dtype=bool)
-        middle = np.searchsorted(self.sorted, at + self.offset)
-        low = np.clip(middle, self.low_end, self.low_end + n)
-        high = low.copy()
         found: list[np.ndarray] = []
         scores: list[np.ndarray] = []
-        held = 0
-        radius = max(self.first_radius, 1e-9)
+        held, step, radius = 0, 0, self.first_radius
+        low, high = self.ends(at, radius)
+        counts = self.collisions(low, high)
         while True:
-            # no limit to its growth: what reaches past an array's ends is cut off there
-            half = HALF_WIDTH * radius
-            new_low = np.clip(np.searchsorted(self.sorted, at - half + self.offset, "left"), self.low_end, low)
-            new_high = np.clip(np.searchsorted(self.sorted, at + half + self.offset, "right"), high, self.low_end + n)
-            parts = [self.order[a:b] for a, b in zip(new_low.tolist(), low.tolist(), strict=True) if a < b]
-            parts += [self.order[a:b] for a, b in zip(high.tolist(), new_high.tolist(), strict=True) if a < b]
-            low, high = new_low, new_high
             whole = bool((high - low == n).all())
-            if parts:
-                counts += np.bincount(np.concatenate(parts), minlength=n)
             hit = np.flatnonzero(open_ & (counts >= need)) if not whole else np.flatnonzero(open_)
             open_[hit] = False
             whole = whole or not open_.any()
+            self.verified += len(hit)
             hit = hit[self.ids[hit] != own]
             if len(hit):
                 found.append(hit)
@@ -112,9 +132,17 @@ class Index:
             if held >= k or whole:
                 rows, score = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (found, scores))
                 best = np.lexsort((self.ids[rows], -score))[:k]
-                if whole or lengths - 2 * score[best[-1]] <= radius**2:
+                if whole or lengths - 2 * score[best[-1]] <= (SLACK * radius) ** 2:
                     return self.ids[rows[best]], score[best]
-            radius *= WIDENING
+            # no limit to its growth: what reaches past an array's ends is cut off there
+            step += 1
+            radius *= WIDENING if step <= PATIENCE else FASTER
+            new_low, new_high = self.ends(at, radius)
+            parts = [o[a:b] for o, a, b in zip(self.order, new_low.tolist(), low.tolist(), strict=True) if a < b]
+            parts += [o[a:b] for o, a, b in zip(self.order, high.tolist(), new_high.tolist(), strict=True) if a < b]
+            low, high = new_low, new_high
+            if parts:
+                counts += np.bincount(np.concatenate(parts), minlength=n)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -146,7 +174,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
         out: list[tuple[int, np.ndarray, np.ndarray]] = []
         if queries.num_rows and block.num_rows:
             block, queries = block.sort_by("vec_id"), queries.sort_by("vec_id")
-            index = Index(block.column("vec_id").to_numpy(), _matrix(block), longest)
+            index = Index(block.column("vec_id").to_numpy(), _matrix(block), longest, k)
             for own, query in zip(queries.column("vec_id").to_pylist(), _matrix(queries), strict=True):
                 out.append((own, *index.search(query, own, k)))
         sizes = [len(o[1]) for o in out]

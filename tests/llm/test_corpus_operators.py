@@ -206,7 +206,7 @@ def test_small_blocks_give_all_their_vectors(dim):
         vectors = draw.standard_normal((n, dim))
         vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
         ids = np.arange(n) * 20
-        index = neighbours.Index(ids, vectors, 1 + 1e-12)
+        index = neighbours.Index(ids, vectors, 1 + 1e-12, 20)
         for query in (vectors[0], 50 * vectors[0]):  # one far outside of the block as well
             assert index.search(query, 0, 20)[0].tolist() == exact(ids.tolist(), vectors, query, 0, 20)
 
