@@ -191,11 +191,12 @@ def pack(pieces: DataFrame, most: int, capacity: int = CAPACITY, group_pieces: i
     columns of ``pieces`` are carried along, so heavy ones are better left out.
     """
     groups = max(1, math.ceil(most / group_pieces))
-    key = F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups))
+    # by the row's place, not by its content: rows that repeat an id, or everything, are dealt like others
+    key = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
 
     def packed(key_values: tuple, group: pa.Table) -> pa.Table:
-        # the order of arrival must not matter: a task that runs again packs the same way
+        # the order of arrival must not matter: a task that runs again packs the same way; what is alike in these is alike to packing
         group = group.sort_by([(c, "ascending") for c in ("doc_id", "start", "length")])
         sequence, offset = best_fit_decreasing(group.column("length").to_numpy(), capacity)
         ids = sequence * groups + key_values[0].as_py()
