@@ -135,6 +135,15 @@ LITERAL = re.compile(ESCAPE.pattern + r"""|\\[abfnrtv0\\'"]""")
 SHORT = dict(zip("abfnrtv0\\'\"", "\a\b\f\n\r\t\v\0\\'\"", strict=True))
 
 
+# A sign that was escaped over and over: each layer only takes one escape off, so all but one go at once.
+DEEP = re.compile(r"%(?:25){2,}|\\(?:x5[cC]|u005[cC]){2,}|&(?:#0*38;|#[xX]0*26;){2,}")
+ONCE = {"%": "%25", "\\": "\\x5c", "&": "&#38;"}
+
+
+def deep_units(match: str) -> list[tuple[str, int, int]]:
+    return [(c, 0, len(match)) for c in ONCE[match[0]]]
+
+
 def literal_units(match: str) -> list[tuple[str, int, int]] | None:
     return [(SHORT[match[1]], 0, 2)] if len(match) == 2 else escape_units(match)
 
@@ -255,13 +264,16 @@ def unwrapped(layer: Layer) -> Iterator[Layer | None]:
     """The layers directly inside ``layer``; None for one that is read in more than one piece."""
     if layer.decoded:
         yield from compressed_layers(layer)
-    if "%" in layer.text and (inner := unescaped(layer, PERCENT, percent_units)):
+    flat = layer
+    if ("%" in layer.text or "\\" in layer.text or "&#" in layer.text) and (inner := unescaped(layer, DEEP, deep_units)):
+        flat = inner
+    if "%" in flat.text and (inner := unescaped(flat, PERCENT, percent_units)):
         yield inner
-    if ("\\" in layer.text or "&#" in layer.text) and (inner := unescaped(layer, ESCAPE, escape_units)):
+    if ("\\" in flat.text or "&#" in flat.text) and (inner := unescaped(flat, ESCAPE, escape_units)):
         yield inner
         if "\\" in layer.text and MAGIC.search(inner.text.encode("latin-1", "replace")):
             # as bytes are written in programs: the short escapes belong to the data as well
-            yield unescaped(layer, LITERAL, literal_units)
+            yield unescaped(flat, LITERAL, literal_units)
     for m in BASE64.finditer(layer.text):
         yield from base64_layers(layer, m.start(), m[0], None, m.end())
     if "\n" in layer.text:

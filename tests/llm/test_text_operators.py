@@ -3,8 +3,11 @@
 import base64
 import bz2
 import gzip
+import hashlib
 import lzma
 import random
+import re
+import time
 import zlib
 from urllib.parse import quote
 
@@ -16,7 +19,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from starmart.llm import language, order_minhash, packing, secret_scan, token_counts, toxicity
+from pyspark.sql import functions as F
+
+from starmart.llm import language, order_minhash, packing, registry, secret_scan, token_counts, toxicity
 from starmart.llm.secret_scan import scan
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -117,6 +122,14 @@ def _by(rows, name):
 # Language ---------------------------------------------------------------
 
 
+def test_pieces_without_or_with_one_id_are_dealt_to_all_groups(spark):
+    alike = spark.range(100_000).select(F.when(F.col("id") % 2 == 0, 7).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("start"), F.lit(300).cast("long").alias("length"))
+    packed = packing.pack(alike, 100_000, group_pieces=20_000)
+    sizes = [r["count"] for r in packed.groupBy(F.col("sequence_id") % 5).count().collect()]
+    assert len(sizes) == 5 and max(sizes) < 22_000 and sum(sizes) == 100_000
+    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024").count() == 0
+
+
 def test_network_gradient_is_that_of_its_loss():
     draw = np.random.default_rng(3)
     net = language.Network.fresh(["a", "b", "c"])
@@ -270,6 +283,41 @@ def test_decoding_ends_and_is_bounded(monkeypatch):
     assert scan(base64.b64encode(gzip.compress(b"a b " * 5000)).decode())[2] == 1
 
 
+@pytest.mark.parametrize("escape, sign", [("%" + "25" * 400_000 + "3D", "="), ("\\" + "x5c" * 300_000 + "x3d", "="), ("\\" + "u005c" * 200_000 + "u003d", "="), ("&" + "#38;" * 200_000 + "#61;", "=")])
+def test_what_was_escaped_very_often_takes_linear_time(escape, sign):
+    start = time.process_time()
+    text = f"a password{escape}Xy12Zw34 b"
+    base, spans, unread = scan(text)
+    assert (0, 2, len(text) - 2) in spans and unread == 0
+    assert time.process_time() - start < 20
+
+
+def test_repeated_escapes_end_as_single_ones():
+    for times in range(5):
+        for first, more, last in [("%", "25", "3D"), ("\\", "x5c", "x3d"), ("\\", "u005C", "u003D"), ("&", "#x26;", "#x3d;")]:
+            text = f"token{first}{more * times}{last}abcdef.1"
+            assert (0, 0, len(text)) in scan(text)[1]
+
+
+def plain_base(text):
+    """The contract's three patterns as they are written."""
+    a = [(0, m.start(), m.end()) for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 6]
+    b = [(1, m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 20]
+    return a + b + [(2, m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if m.end() - m.start() >= 24]
+
+
+def test_base_spans_and_digests_of_the_whole_table(spark):
+    path = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()}
+    got = registry.op5_secrets(spark, path).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = sorted(plain_base(texts[r.doc_id]), key=lambda s: (s[1], s[0], s[2]))
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(w[0] == k for w in want) for k in range(3)]
+        listed = ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for k, a, b in want)
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+
+
 def test_secrets_of_rows(docs):
     df = docs((1, f"{KEY} token=abcdef0"), (None, None), (2, ""), (1, f"{KEY} token=abcdef0"), base="x", spans=1)
     got = {(r.doc_id, len(r.base), len(r.spans), r.unread) for r in secret_scan.find_secrets(df).collect()}
