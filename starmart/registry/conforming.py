@@ -129,13 +129,13 @@ def fact_first_user(spark, sf_dir):
 
 def fact_first_vehicle(spark, sf_dir):
     """First vehicle of each accident and source vehicle number."""
-    return build.first_vehicles(_numbered(spark, sf_dir, "vehicles", "id_vehicule"))
+    return build.first_vehicles(_numbered(spark, sf_dir, "vehicles", "id_vehicule")).drop("annee")
 
 
 def fact_first_vehicle_uk(spark, sf_dir):
     """Files without a vehicle number: the first vehicle of the accident."""
     vehicles = _numbered(spark, sf_dir, "vehicles", "id_vehicule")
-    return build.first_vehicles(vehicles.withColumn("veh_src", F.lit(None).cast("string")))
+    return build.first_vehicles(vehicles.withColumn("veh_src", F.lit(None).cast("string"))).drop("annee")
 
 
 def fact_vehicle_count(spark, sf_dir):
@@ -156,7 +156,7 @@ def fr_place_left_join(spark, sf_dir):
         "id_pays", "annee", "cle", F.struct("a", "b").alias("pos")
     )
     numbered = dense_ids(places, "id_lieu", build.ENTITY_ORDER)
-    return build.last_places(numbered)
+    return build.last_places(numbered).drop("annee")
 
 
 def fact_weather_lookup(spark, sf_dir):
