@@ -35,7 +35,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.common import arrow_schema, bounded_batches, freeing_shuffles, per_row, text_or_empty
@@ -46,6 +47,7 @@ SHINGLE = 3
 GROUPS = 64
 SEED = 42
 PAGE = 1024
+BROADCAST_NODES = 300_000
 LEAF = 32
 # Forests of a cell in the first round, and their growth by round: rounds grow with the logarithm of the refuted.
 FORESTS = 3
@@ -272,10 +274,13 @@ def cell_pairs(cells: DataFrame, like: Likeness, count: int = FORESTS) -> DataFr
 
 def buckets_of(nodes: DataFrame) -> DataFrame:
     """``key, many, node``: the members of every bucket of two nodes or more, one bucket for each set of members."""
-    members = nodes.select("node", F.explode("keys").alias("key"))
-    size = members.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(SEED))).alias("y"))
-    once = size.where("many > 1").groupBy("many", "x", "y").agg(F.min("key").alias("key"))
-    return stored(members.join(stored(once.select("key", "many"), "jaccard-buckets"), "key"), "jaccard-members")
+    # keys travel once: what stands alone under its key is left out where the key's rows meet
+    each = nodes.select("node", F.explode("keys").alias("key"))
+    many = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    members = stored(each.withColumn("many", many).where("many > 1"), "jaccard-shared")
+    sets = members.groupBy("key", "many").agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(SEED))).alias("y"))
+    once = sets.groupBy("many", "x", "y").agg(F.min("key").alias("key"))
+    return stored(members.join(stored(once.select("key"), "jaccard-buckets"), "key"), "jaccard-members")
 
 
 def first_cells(rooted: DataFrame, page: int) -> DataFrame:
@@ -310,14 +315,15 @@ def later_cells(rooted: DataFrame, page: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, length: int, like: Likeness) -> DataFrame:
-    """``pairs`` with ``near``: whether the shingles themselves are alike enough."""
+    """``pairs`` with ``near``: whether the shingles themselves are alike enough.  ``texts`` are packed."""
 
     @F.pandas_udf("boolean")
     def near(a: pd.Series, b: pd.Series) -> pd.Series:
-        sets: dict[str, frozenset] = {}
+        sets: dict[bytes, frozenset] = {}
+        unpack = zstandard.ZstdDecompressor().decompress
         out = []
         for x, y in zip(a, b, strict=True):
-            x, y = (sets[t] if t in sets else sets.setdefault(t, frozenset(shingles(t, length))) for t in (x, y))
+            x, y = (sets[t] if t in sets else sets.setdefault(t, frozenset(shingles(unpack(t).decode("utf-8"), length))) for t in (x, y))
             out.append(like.reached(len(x & y), len(x), len(y)))
             if len(sets) > 1000:
                 sets.clear()
@@ -332,10 +338,20 @@ def node_links(nodes: DataFrame, docs: DataFrame, length: int = SHINGLE, like: L
     """``node, root`` of the nodes that are linked with another, from ``node, id, sha, keys, counts``."""
     spark = nodes.sparkSession
     members = buckets_of(nodes)
-    wanted = members.select("node").distinct().join(nodes.select("node", "id", "sha"), "node")
+    wanted = stored(members.select("node").distinct().join(nodes.select("node", "id", "sha"), "node"), "jaccard-wanted")
+    # about 100 bytes each; beyond that many the texts are dealt by their id instead
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted
     whole = docs.select(F.col("doc_id").alias("_doc"), F.sha2(text_or_empty(), 256).alias("_digest"), text_or_empty().alias("text"))
     held = whole.join(wanted, F.col("_doc").eqNullSafe(F.col("id")) & (F.col("_digest") == F.col("sha")))
-    texts = stored(held.groupBy("node").agg(F.first("text").alias("text")), "jaccard-texts")
+
+    @F.pandas_udf("binary")
+    def packed(text: pd.Series) -> pd.Series:
+        # texts travel three times from here on
+        pack = zstandard.ZstdCompressor().compress
+        return text.map(lambda t: pack(t.encode("utf-8")))
+
+    texts = held.select("node", packed("text").alias("text"))
+    texts = stored(texts.groupBy("node").agg(F.first("text").alias("text")), "jaccard-texts")
     checked, roots, turn = None, None, 0
     while True:
         if roots is None:
