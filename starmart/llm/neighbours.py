@@ -9,8 +9,7 @@ radius that the windows stand for, or when every vector is verified.
 
 Windows are ranks: a vector collides in a direction if its rank there lies between the window's
 ends.  The first windows, which stand for a little less than the distance at which sample vectors of the
-block have their k-th neighbour, are counted by comparing ranks; as they widen only the ranks
-that come in are added.
+block have their k-th neighbour; a query that does not end with them has them widened.
 
 The largest inner product is a nearest neighbour after one more component is added, which
 gives all indexed vectors the same length.
@@ -52,6 +51,8 @@ PATIENCE = 10
 FASTER = 1.12
 # Vectors of a block from which the first radius is taken.
 RADIUS_SAMPLE = 16
+# Queries whose windows are counted together.
+QUERIES_AT_ONCE = 64
 
 
 def directions(dim: int, count: int, seed: int = 42) -> np.ndarray:
@@ -88,61 +89,75 @@ class Index:
         near = np.partition(squares, min(k, n - 1), axis=1)[:, min(k, n - 1)]
         return max(math.sqrt(float(near.min())) / SLACK, 0.05 * self.longest)
 
-    def ends(self, at: np.ndarray, half: float) -> tuple[np.ndarray, np.ndarray]:
-        """Ranks of the windows' ends in every direction."""
+    def ends(self, at: np.ndarray, half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of the windows' ends, a row for a query and a column for a direction."""
         n = len(self.ids)
-        low = np.searchsorted(self.sorted, at - half + self.offset, "left") - self.first_rank
-        high = np.searchsorted(self.sorted, at + half + self.offset, "right") - self.first_rank
+        low = np.searchsorted(self.sorted, at - half[:, None] + self.offset, "left") - self.first_rank
+        high = np.searchsorted(self.sorted, at + half[:, None] + self.offset, "right") - self.first_rank
         return np.clip(low, 0, n), np.clip(high, 0, n)
 
     def collisions(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """In how many windows each vector lies; ranks below a window wrap around to large numbers."""
+        """In how many windows of each query each vector lies; ranks below a window wrap around to large numbers.
+
+        A direction's ranks are read once for all queries.
+        """
         n = len(self.ids)
-        counts, moved, inside = np.zeros(n, dtype=np.uint8), np.empty(n, dtype=np.uint16), np.empty(n, dtype=bool)
-        for ranks, a, b in zip(self.ranks, low.tolist(), high.tolist(), strict=True):
-            np.subtract(ranks, np.uint16(a), out=moved)
-            np.less(moved, np.uint16(b - a), out=inside)
-            np.add(counts, inside.view(np.uint8), out=counts)
-        return counts.astype(np.int64)
-
-    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and inner products of the ``k`` best found, best first."""
+        counts, moved, inside = np.zeros((len(low), n), dtype=np.uint8), np.empty(n, dtype=np.uint16), np.empty(n, dtype=bool)
+        inside_as_number = inside.view(np.uint8)
+        starts, widths = low.T.astype(np.uint16), (high - low).T.astype(np.uint16)
+        for ranks, firsts, wide in zip(self.ranks, starts, widths, strict=True):
+            for count, a, w in zip(counts, firsts, wide, strict=True):
+                np.subtract(ranks, a, out=moved)
+                np.less(moved, w, out=inside)
+                np.add(count, inside_as_number, out=count)
+        return counts
+
+    def best(self, query: np.ndarray, own: int, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ``k`` best of ``rows`` without the query's own, best first, ties to the smaller id."""
+        rows = rows[self.ids[rows] != own]
+        vectors = self.vectors[rows]
+        score = vectors @ query
+        if len(rows) > k:
+            # rough sums choose who may be among the k; theirs are taken anew
+            rough = np.partition(score, len(score) - k)[len(score) - k]
+            near = score >= rough - 1e-9 * max(1.0, self.longest * float(np.sqrt(query @ query)))
+            rows, vectors = rows[near], vectors[near]
+        # sums along a row do not depend on where the row stands, so equal vectors tie
+        score = (vectors * query).sum(axis=1)
+        order = np.lexsort((self.ids[rows], -score))[:k]
+        return rows[order], score[order]
+
+    def search(self, queries: np.ndarray, owns: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the ids and inner products of the ``k`` best found, best first."""
+        made: list = [None] * len(queries)
+        for at in range(0, len(queries), QUERIES_AT_ONCE):
+            self._search(queries, owns, k, np.arange(at, min(at + QUERIES_AT_ONCE, len(queries))), made)
+        return made
+
+    def _search(self, queries: np.ndarray, owns: np.ndarray, k: int, left: np.ndarray, made: list) -> None:
         n = len(self.ids)
-        at = np.append(query, 0.0) @ self.axes
-        lengths = self.longest**2 + float(query @ query)
         need = math.ceil(THRESHOLD * DIRECTIONS)
-        open_ = np.ones(n, dtype=bool)
-        found: list[np.ndarray] = []
-        scores: list[np.ndarray] = []
-        held, step, radius = 0, 0, self.first_radius
-        low, high = self.ends(at, radius)
-        counts = self.collisions(low, high)
-        while True:
-            whole = bool((high - low == n).all())
-            hit = np.flatnonzero(open_ & (counts >= need)) if not whole else np.flatnonzero(open_)
-            open_[hit] = False
-            whole = whole or not open_.any()
-            self.verified += len(hit)
-            hit = hit[self.ids[hit] != own]
-            if len(hit):
-                found.append(hit)
-                # sums along a row do not depend on where the row stands, so equal vectors tie
-                scores.append((self.vectors[hit] * query).sum(axis=1))
-                held += len(hit)
-            if held >= k or whole:
-                rows, score = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (found, scores))
-                best = np.lexsort((self.ids[rows], -score))[:k]
-                if whole or lengths - 2 * score[best[-1]] <= (SLACK * radius) ** 2:
-                    return self.ids[rows[best]], score[best]
+        projected = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1)[left] @ self.axes
+        lengths = self.longest**2 + np.einsum("ij,ij->i", queries[left], queries[left])
+        radius, step = np.full(len(left), self.first_radius), 0
+        while len(left):
+            low, high = self.ends(projected, radius)
+            counts = self.collisions(low, high)
+            whole = (high - low == n).all(axis=1)
+            open_ = np.ones(len(left), dtype=bool)
+            for i, q in enumerate(left.tolist()):
+                hit = np.arange(n) if whole[i] else np.flatnonzero(counts[i] >= need)
+                if len(hit) <= k and len(hit) < n:
+                    continue
+                rows, score = self.best(queries[q], int(owns[q]), hit, k)
+                if len(hit) == n or (len(rows) == k and lengths[i] - 2 * score[-1] <= (SLACK * radius[i]) ** 2):
+                    made[q] = self.ids[rows], score
+                    self.verified += len(hit)
+                    open_[i] = False
             # no limit to its growth: what reaches past an array's ends is cut off there
             step += 1
-            radius *= WIDENING if step <= PATIENCE else FASTER
-            new_low, new_high = self.ends(at, radius)
-            parts = [o[a:b] for o, a, b in zip(self.order, new_low.tolist(), low.tolist(), strict=True) if a < b]
-            parts += [o[a:b] for o, a, b in zip(self.order, high.tolist(), new_high.tolist(), strict=True) if a < b]
-            low, high = new_low, new_high
-            if parts:
-                counts += np.bincount(np.concatenate(parts), minlength=n)
+            left, projected, lengths = left[open_], projected[open_], lengths[open_]
+            radius = radius[open_] * (WIDENING if step <= PATIENCE else FASTER)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -175,8 +190,9 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
         if queries.num_rows and block.num_rows:
             block, queries = block.sort_by("vec_id"), queries.sort_by("vec_id")
             index = Index(block.column("vec_id").to_numpy(), _matrix(block), longest, k)
-            for own, query in zip(queries.column("vec_id").to_pylist(), _matrix(queries), strict=True):
-                out.append((own, *index.search(query, own, k)))
+            owns = queries.column("vec_id").to_numpy()
+            found = index.search(_matrix(queries), owns, k)
+            out = [(own, *f) for own, f in zip(owns.tolist(), found, strict=True)]
         sizes = [len(o[1]) for o in out]
         return pa.table({"query_id": pa.array(np.repeat([o[0] for o in out], sizes), type=pa.int64()), "vec_id": pa.array(np.concatenate([o[1] for o in out]) if out else [], type=pa.int64()), "score": pa.array(np.concatenate([o[2] for o in out]) if out else [], type=pa.float64())})
 

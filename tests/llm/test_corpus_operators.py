@@ -208,7 +208,7 @@ def test_small_blocks_give_all_their_vectors(dim):
         ids = np.arange(n) * 20
         index = neighbours.Index(ids, vectors, 1 + 1e-12, 20)
         for query in (vectors[0], 50 * vectors[0]):  # one far outside of the block as well
-            assert index.search(query, 0, 20)[0].tolist() == exact(ids.tolist(), vectors, query, 0, 20)
+            assert index.search(query[None, :], np.array([0]), 20)[0][0].tolist() == exact(ids.tolist(), vectors, query, 0, 20)
 
 
 def test_neighbours_of_a_rare_length(spark):
