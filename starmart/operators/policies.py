@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -48,14 +48,19 @@ def as_role(df: DataFrame, table: str, role: str, rules: AccessRules) -> DataFra
     return df.filter(rules.predicate(role, table, "select"))
 
 
-def update_as_role(df: DataFrame, table: str, role: str, changes: dict[str, Column], rules: AccessRules) -> DataFrame:
+def may_change(table: str, role: str, rules: AccessRules) -> Column:
+    """Which rows of ``table`` the role may see and change."""
+    if not rules.allowed(role, table, "update"):
+        raise PermissionError(f"permission denied for table {table}")
+    return rules.predicate(role, table, "update") & rules.predicate(role, table, "select")
+
+
+def update_as_role(df: DataFrame, table: str, role: str, changes: Mapping[str, Column], rules: AccessRules) -> DataFrame:
     """The table after an update that touches only rows the role may see and change.
 
-    Returned whole, to be written in place of the old table.
+    Returned whole; ``Warehouse.update_as_role`` writes it back.
     """
-    if not rules.allowed(role, table, "update"):
-        raise PermissionError(f"permission denied for table {table}")
-    mine = rules.predicate(role, table, "update") & rules.predicate(role, table, "select")
+    mine = may_change(table, role, rules)
     return df.select(
         *[F.when(mine, changes[c]).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in df.columns]
     )

@@ -13,6 +13,7 @@ from starmart import codebooks
 from starmart.operators.checks import check_table
 from starmart.operators.keys import dense_ids, next_id
 from starmart.operators.loading import new_records, rows_to_insert
+from starmart.operators.policies import WAREHOUSE_ACCESS, AccessRules, may_change, update_as_role
 from starmart.plans.calendar import calendar_staging, days_of_years, dim_temps, number_days
 from starmart.plans.star import ENTITY_KEY, Staging, assign_keys, build_tables, dim_pays
 from starmart.plans.star_queries import Star
@@ -188,6 +189,26 @@ class Warehouse:
             batch.replace("livraison", deliveries.recorded(files, made, ledger).coalesce(1))
         return made
 
+    def update_as_role(self, table: str, role: str, changes: Mapping[str, Column], rules: AccessRules = WAREHOUSE_ACCESS) -> list[str]:
+        """Write the changes of a role to the rows it may see and change, as a new version; gives the parts written anew.
+
+        Only parts of the table (a load's folder of a country and year) that hold such a row are
+        read whole and written again; the other parts are carried over as they are.  Readers of the
+        version before keep it.  Without such a row no version is made.
+        """
+        mine = may_change(table, role, rules)
+        held = self.snapshot().read(table).where(mine)
+        # names of parts, which the version lists anyway
+        part = F.regexp_extract(F.col("_metadata.file_path"), r"/(lot=.*)/[^/]*$", 1)
+        touched = sorted(r["part"] for r in held.select(part.alias("part")).distinct().collect())
+        if not touched:
+            return []
+        with self.batch() as batch:
+            rows = snapshots.Snapshot(batch.folder, batch.version, {table: touched}).read(table)
+            batch.parts[table] = [p for p in batch.parts[table] if p not in touched]
+            self.append(table, update_as_role(rows, table, role, changes, rules))
+        return touched
+
     @staticmethod
     def _of_years(pairs: Sequence[tuple[int, int]]) -> Column:
         return reduce(lambda a, b: a | b, [(F.col("id_pays") == c) & (F.col("annee") == y) for c, y in pairs], F.lit(False))

@@ -67,6 +67,19 @@ def ingest_csv_clean(spark, sf_dir):
     return rows.select(_folder_year(F.col("src_file")).alias("annee"), *FIELDS)
 
 
+def ingest_quoted_breaks(spark, sf_dir):
+    """Orders in yearly files whose notes are quoted and run over two or three lines."""
+    path = scratch_path(spark, "raw-breaks")
+    orders = _yearly_orders(spark, sf_dir)
+    note = F.concat(F.lit('"'), "o_orderpriority", F.lit(';""\n'), F.when(F.col("o_orderstatus") == "P", F.lit("\n")).otherwise(""), "o_orderstatus", F.lit('"'))
+    body = orders.select("annee", "o_orderkey", F.concat_ws(";", F.col("o_orderkey").cast("string"), note, F.col("o_totalprice").cast("string")).alias("value"))
+    heads = orders.select("annee").distinct().select("annee", F.lit(None).cast("bigint").alias("o_orderkey"), F.lit("cle;note;prix").alias("value"))
+    lines = heads.unionByName(body).repartition("annee").sortWithinPartitions("annee", F.col("o_orderkey").asc_nulls_first())
+    lines.select("annee", "value").write.partitionBy("annee").text(path)
+    rows = read_all(spark, manifest(list_files(spark, path, "*.txt")))
+    return rows.select(_folder_year(F.col("src_file")).alias("annee"), F.col("cle").cast("bigint").alias("cle"), "note", to_number(F.col("prix")).alias("prix"))
+
+
 def ingest_detect_sep(spark, sf_dir):
     found = manifest(list_files(spark, _raw_folder(spark, sf_dir), "*.csv"))
     return found.select(
@@ -198,6 +211,7 @@ def profile_tables(spark, sf_dir):
 
 QUERIES = {
     "ingest_csv_clean": ingest_csv_clean,
+    "ingest_quoted_breaks": ingest_quoted_breaks,
     "ingest_detect_sep": ingest_detect_sep,
     "ingest_csv_gz": ingest_csv_gz,
     "split_by_year": split_by_year,
@@ -219,6 +233,10 @@ ORACLES = {
                CASE WHEN o_orderpriority NOT LIKE '5%' THEN 'é' || CASE WHEN year(o_orderdate) <= 1997 THEN ';' ELSE ',' END
                     || o_orderpriority END AS libelle
         FROM orders WHERE o_orderstatus <> 'P'""",
+    "ingest_quoted_breaks": f"""
+        SELECT {YEAR} AS annee, o_orderkey AS cle, o_totalprice AS prix,
+               o_orderpriority || ';"' || chr(10) || CASE WHEN o_orderstatus = 'P' THEN chr(10) ELSE '' END || o_orderstatus AS note
+        FROM orders""",
     "ingest_detect_sep": f"""
         SELECT annee, sep, CASE WHEN annee <= 1997 THEN 'UTF-8' ELSE 'ISO-8859-1' END AS encoding,
                CAST(4 AS INTEGER) AS n_sep, 'cle' || sep || 'date' || sep || 'statut' || sep || 'prix' || sep || 'libelle' AS entete

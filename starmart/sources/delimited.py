@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.functions.dates import last_year_in_name
 from starmart.functions.scalars import BLANKS, NBSP, clean_strings
 from starmart.plans.star import POSITION
+from starmart.sources.records import START, open_after, read_records
 
 SEPARATORS = [",", ";", "\t", " "]
 CORRUPT = "_corrupt_record"
@@ -37,7 +38,7 @@ def _occurrences(text: Column, piece: str) -> Column:
 def manifest(
     files: DataFrame, separators: Sequence[str] = SEPARATORS, default: str = ","
 ) -> DataFrame:
-    """Per file: encoding, separator, header and the year in its name.
+    """Per file: encoding, separator, header, the year in its name, and whether quoted fields run over line ends.
 
     Every line of every file is looked at, in one distributed pass.  The encoding is UTF-8
     when all lines are valid UTF-8, else Latin-1.  The separator is the candidate whose count in
@@ -46,7 +47,7 @@ def manifest(
     """
     spark = files.sparkSession
     paths = [row["path"] for row in files.select("path").collect()]
-    schema = "path string, name string, length bigint, encoding string, ligne string, sep string, n_sep int, annee int"
+    schema = "path string, name string, length bigint, encoding string, ligne string, sep string, n_sep int, annee int, coupe boolean"
     if not paths:
         return spark.createDataFrame([], schema)
     lines = spark.read.text(paths).select(
@@ -55,9 +56,11 @@ def manifest(
         "value",
     )
     unquoted = F.regexp_replace("value", '"[^"]*"', "")
-    usual = [F.mode(_occurrences(unquoted, s)).alias(f"usual_{i}") for i, s in enumerate(separators)]
+    usual = [F.mode(_occurrences(unquoted, s), deterministic=True).alias(f"usual_{i}") for i, s in enumerate(separators)]
+    # no line that starts outside of quotes ends inside of them: every line is a record
+    cut = [F.bool_or(open_after(F.col("value"), s, START) == 1).alias(f"cut_{i}") for i, s in enumerate(separators)]
     seen = lines.groupBy("path").agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("valid"), F.min("line")["value"].alias("first"), *usual
+        F.bool_and(F.is_valid_utf8("value")).alias("valid"), F.min("line")["value"].alias("first"), *usual, *cut
     )
     known = files.select("path", "name", "length").join(seen, "path", "left")
     decoded = F.when(F.col("valid"), F.col("first")).otherwise(F.decode(F.col("first").cast("binary"), "ISO-8859-1"))
@@ -71,6 +74,7 @@ def manifest(
                     n.alias("n"),
                     F.lit(-i).alias("rang"),
                     F.lit(s).alias("sep"),
+                    F.coalesce(f"cut_{i}", F.lit(False)).alias("coupe"),
                 )
                 for i, (n, s) in enumerate(zip(counts, separators, strict=True))
             ]
@@ -90,6 +94,7 @@ def manifest(
             F.when(F.col("best.n") > 0, F.col("best.sep")).otherwise(default).alias("sep"),
             F.col("best.n").alias("n_sep"),
             last_year_in_name(F.col("name")).alias("annee"),
+            ((F.col("best.n") > 0) & F.col("best.coupe")).alias("coupe"),
         )
     )
 
@@ -102,7 +107,7 @@ def recent_files(files: DataFrame, min_year: int) -> DataFrame:
 
 @dataclass
 class Layout:
-    """Files that share separator, encoding and header, read as one table."""
+    """Files that share separator, encoding, header and way of reading, read as one table."""
 
     columns: list[str]
     rows: DataFrame
@@ -119,13 +124,13 @@ def read_layouts(spark: SparkSession, described: DataFrame, spread: int | None =
     Only the manifest (paths and headers) comes to the driver, which Spark needs
     for its file index anyway.
     """
-    groups: dict[tuple[str, str, str], list[str]] = {}
-    for row in described.select("path", "sep", "encoding", "ligne").collect():
-        groups.setdefault((row["sep"], row["encoding"], row["ligne"]), []).append(row["path"])
+    groups: dict[tuple[str, str, str, bool], list[str]] = {}
+    for row in described.select("path", "sep", "encoding", "ligne", "coupe").collect():
+        groups.setdefault((row["sep"], row["encoding"], row["ligne"], row["coupe"]), []).append(row["path"])
     layouts = []
-    for (sep, encoding, line), paths in sorted(groups.items()):
+    for (sep, encoding, line, cut), paths in sorted(groups.items()):
         columns = header_names(line, sep)
-        layouts.append(Layout(columns, read_delimited(spark, sorted(paths), columns, sep, encoding, spread)))
+        layouts.append(Layout(columns, read_delimited(spark, sorted(paths), columns, sep, encoding, spread, cut)))
     return layouts
 
 
@@ -136,6 +141,7 @@ def read_delimited(
     sep: str,
     encoding: str = "UTF-8",
     spread: int | None = None,
+    cut: bool = False,
 ) -> DataFrame:
     """Text columns of headed files, cleaned, with each row's source position.
 
@@ -143,33 +149,31 @@ def read_delimited(
     nulls.  The parser only reports "other field count", so the reported line is
     counted again, quoted parts left aside.  ``spread`` redistributes the rows
     over that many tasks, for gzip files that a single task has to unpack.
+    ``cut`` files have quoted fields over line ends: their lines are put together first.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, CORRUPT]])
-    raw = (
-        spark.read.schema(schema)
-        .options(
-            header=True,
-            sep=sep,
-            encoding=encoding,
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=CORRUPT,
-            columnPruning=False,
-            quote='"',
-            escape='"',
-        )
-        .csv(list(paths))
-    )
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "quote": '"', "escape": '"'}
     unquoted = F.regexp_replace(F.col(CORRUPT), '"[^"]*"', "")
     too_many = _occurrences(unquoted, sep) > len(columns) - 1
     # Never true; keeps a data column in the scan, without which the reported line cannot be read.
     no_line = F.length(F.col(f"`{columns[0]}`")) < 0
-    fitting = raw.select(
-        "*",
-        F.col("_metadata.file_path").alias("src_file"),
-        F.col("_metadata.file_block_start").alias("src_block"),
-    ).filter(~F.coalesce(too_many, no_line, F.lit(False)))
-    # Numbered after the filter: rows kept of one split run up by one.
-    placed = fitting.drop(CORRUPT).withColumn("src_row", F.monotonically_increasing_id())
+    wanted = ~F.coalesce(too_many, no_line, F.lit(False))
+    if cut:
+        fields = ", ".join(f"`{name}` string" for name in (c.replace("`", "``") for c in schema.fieldNames()))
+        parsed = read_records(spark, paths, sep, encoding).withColumn("record", F.from_csv("record", fields, options))
+        fitting = parsed.select("record.*", "src_file", "src_block", "src_row").filter(wanted)
+        # rows kept of one block run up by one, as below
+        row = F.row_number().over(Window.partitionBy("src_file", "src_block").orderBy("src_row"))
+        placed = fitting.drop(CORRUPT).withColumn("src_row", row.cast("long"))
+    else:
+        raw = spark.read.schema(schema).options(header=True, encoding=encoding, columnPruning=False, **options).csv(list(paths))
+        fitting = raw.select(
+            "*",
+            F.col("_metadata.file_path").alias("src_file"),
+            F.col("_metadata.file_block_start").alias("src_block"),
+        ).filter(wanted)
+        # Numbered after the filter: rows kept of one split run up by one.
+        placed = fitting.drop(CORRUPT).withColumn("src_row", F.monotonically_increasing_id())
     cleaned = clean_strings(placed, skip=["src_file"])
     return cleaned.repartition(spread) if spread else cleaned
 

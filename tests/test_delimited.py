@@ -1,5 +1,9 @@
 """Detection over whole files, on files written here."""
 
+import csv
+import io
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,6 +40,46 @@ def test_no_files(spark, tmp_path):
     assert manifest(list_files(spark, str(tmp_path))).collect() == []
 
 
+def pieces(rng):
+    """Fields that begin and end in a letter, so that cleaning leaves them alone."""
+    return "a" + "".join(rng.choice(['"', ";", "\n", "b", "é", '""', "\n\n"]) for _ in range(rng.randrange(6))) + "z"
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "latin-1"])
+def test_quoted_fields_over_line_ends_and_block_borders(spark, tmp_path, encoding):
+    rng = random.Random(7)
+    text = io.StringIO()
+    written = [["cle", "note", "fin"]]
+    written += [[str(i), pieces(rng), pieces(rng)] for i in range(300)]
+    csv.writer(text, delimiter=";", lineterminator="\n").writerows(written)
+    # a quote that does not begin a field is text, also beside quoted breaks; blank lines are no records
+    loose = '300;5" pipe;"x\n\ny"\n\n301;a"b;c""d\n302;"";"q ""r""\ns"\n303;"one";too;"ma\nny"\n304;short\n'
+    write(tmp_path, "broken_2005.csv", text.getvalue() + loose, encoding)
+    write(tmp_path, "plain_2006.csv", 'cle;note;fin\n900;"a;b";5" pipe\n', encoding)
+    sizes = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = {k: spark.conf.get(k) for k in sizes}
+    for k, v in zip(sizes, ("97", "1"), strict=True):
+        spark.conf.set(k, v)
+    try:
+        described = manifest(list_files(spark, str(tmp_path)))
+        assert {r["name"]: r["coupe"] for r in described.collect()} == {"broken_2005.csv": True, "plain_2006.csv": False}
+        rows = read_all(spark, described).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    rows.sort(key=lambda r: (r["src_file"], r["src_block"], r["src_row"]))
+    assert len({r["src_block"] for r in rows}) > 20
+    expected = written[1:] + [["300", '5" pipe', "x\n\ny"], ["301", 'a"b', 'c""d'], ["302", None, 'q "r"\ns'], ["304", "short", None], ["900", "a;b", '5" pipe']]
+    assert [[r["cle"], r["note"], r["fin"]] for r in rows] == expected
+    assert [list(r) for r in csv.reader(io.StringIO(text.getvalue(), newline=""), delimiter=";")] == written
+
+
+def test_quotes_that_are_never_closed_are_an_error(spark, tmp_path):
+    write(tmp_path, "open_2005.csv", 'a;b\n1;"x\n2;y\n')
+    with pytest.raises(ValueError, match="open_2005"):
+        read_all(spark, manifest(list_files(spark, str(tmp_path))))
+
+
 def test_a_refresh_replaces_all_levels(spark, tmp_path):
     path = str(tmp_path / "view")
     cube.write_cube(spark.createDataFrame([(0, 1), (3, 2), (7, 3)], "gid int, n int"), path)

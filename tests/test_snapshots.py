@@ -3,12 +3,14 @@
 import datetime
 import os
 import tempfile
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from raw_fixture import FR_FILES, PREFIX, UK_FILES, write_raw
 
+from starmart.operators.policies import WAREHOUSE_ACCESS
 from starmart.plans.star import Staging, dim_pays
 from starmart.plans.warehouse import BrokenRules, Warehouse
 from starmart.sources import deliveries, snapshots
@@ -203,3 +205,38 @@ def test_tables_without_rows_can_be_read(spark):
     batch.append("u", spark.createDataFrame([], schema))
     made = batch.publish()
     assert made.has("t") and made.read("t", schema).count() == 0 and made.read("u", schema).count() == 0
+
+
+def test_an_update_rewrites_only_parts_with_rows_of_the_role(spark):
+    warehouse = Warehouse(spark, fresh())
+    warehouse.load_accidents(tiny(spark, *FIRST))
+    warehouse.load_accidents(tiny(spark, (1, 2006, "B", ["Slightly injured"]), (2, 2006, "B", ["Killed", "Slightly injured"])))
+    old = warehouse.snapshot()
+    rules = replace(WAREHOUSE_ACCESS, grants=[*WAREHOUSE_ACCESS.grants, ("medecin", "dim_usager", "update")])
+    change = {"cat_usager": F.lit("Suivi")}
+    before = {r["id_usager"]: r for r in warehouse.read("dim_usager").collect()}
+    touched = warehouse.update_as_role("dim_usager", "medecin", change, rules)
+    assert sorted(p.split("/", 1)[1] for p in touched) == ["id_pays=1/annee=2005", "id_pays=2/annee=2005", "id_pays=2/annee=2006"]
+    new = warehouse.snapshot()
+    assert new.version == old.version + 1
+    # the part without such a row is carried over, and no other table changes
+    assert [p for p in old.parts["dim_usager"] if p not in touched] == [p for p in new.parts["dim_usager"] if p in old.parts["dim_usager"]]
+    assert len(new.parts["dim_usager"]) == len(old.parts["dim_usager"])
+    assert {t: p for t, p in new.parts.items() if t != "dim_usager"} == {t: p for t, p in old.parts.items() if t != "dim_usager"}
+    after = {r["id_usager"]: r.asDict() for r in warehouse.read("dim_usager").collect()}
+    assert after == {i: {**r.asDict(), "cat_usager": "Suivi" if r["gravite"] == "Killed" else r["cat_usager"]} for i, r in before.items()}
+    assert {r["id_usager"]: r for r in Warehouse(spark, warehouse.root, old.version).read("dim_usager").collect()} == before
+    # a corrected year is still exchanged as a whole afterwards
+    warehouse.load_accidents(tiny(spark, (1, 2005, "A", ["Slightly injured"])), [(1, 2005)])
+    assert {r["cat_usager"] for r in warehouse.read("dim_usager").where("id_pays = 1").collect()} <= {"Driver"}
+    with pytest.raises(PermissionError):
+        warehouse.update_as_role("dim_usager", "medecin", change)
+
+
+def test_an_update_without_rows_makes_no_version(spark):
+    warehouse = Warehouse(spark, fresh())
+    warehouse.load_accidents(tiny(spark, (1, 2005, "A", ["Slightly injured"])))
+    rules = replace(WAREHOUSE_ACCESS, grants=[*WAREHOUSE_ACCESS.grants, ("medecin", "dim_usager", "update")])
+    version = warehouse.snapshot().version
+    assert warehouse.update_as_role("dim_usager", "medecin", {"cat_usager": F.lit("Suivi")}, rules) == []
+    assert warehouse.snapshot().version == version
