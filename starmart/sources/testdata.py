@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starmart.functions.scalars import severity_index, victims, weather_label
@@ -198,61 +198,85 @@ def star(spark: SparkSession, sf_dir: str) -> TestStar:
     return TestStar(spark, sf_dir)
 
 
+class _TestStaging(Staging):
+    """Orders and their lines as staged accident files; a part is planned when it is first asked for.
+
+    The accidents, and the lines with their accidents, are stored once, as files are, so that
+    parts and loads that share them do not join the base tables again.  A line's position is
+    its order and its place among the order's lines, along the whole line.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.base = TestStar(spark, sf_dir)
+
+    @cached_property
+    def _located(self) -> DataFrame:
+        accidents = self.base.order_country().select(
+            "id_pays", F.year("date").alias("annee"), F.col("o_orderkey").alias("cle"), "date", "id_lieu"
+        )
+        return stored(accidents, "test-accidents")
+
+    @cached_property
+    def accidents(self) -> DataFrame:
+        return self._located.select("id_pays", "annee", "cle", "date", F.struct(F.col("cle").alias("o_orderkey")).alias("pos"))
+
+    @cached_property
+    def places(self) -> DataFrame:
+        accidents = self._located.select("id_pays", "annee", "cle", F.struct(F.col("cle").alias("o_orderkey")).alias("pos"), "id_lieu")
+        return accidents.join(self.base.place.drop("id_pays"), "id_lieu").select(
+            "id_pays",
+            "annee",
+            "cle",
+            "pos",
+            F.lit(None).cast("string").alias("commune"),
+            "departement",
+            "district",
+            "type_route",
+            F.lit(None).cast("int").alias("vitesse_limite"),
+            F.lit(None).cast("double").alias("latitude"),
+            F.lit(None).cast("double").alias("longitude"),
+        )
+
+    @cached_property
+    def _lines(self) -> DataFrame:
+        line = self.base.table("lineitem")
+        # nulls first, as structs are ordered
+        along = [*PERSON_KEY[1:], *[c for c in line.columns if c not in PERSON_KEY]]
+        place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*along)).alias("place")
+        placed = line.select("l_orderkey", place, "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus")
+        joined = self._located.select("id_pays", "annee", "cle").join(placed, F.col("cle") == F.col("l_orderkey"))
+        return stored(joined.drop("l_orderkey"), "test-lines")
+
+    def _line_entity(self) -> list[Column]:
+        return [
+            F.col("id_pays"), F.col("annee"), F.col("cle"), F.col("l_partkey").cast("string").alias("veh_src"),
+            F.struct(F.col("cle").alias("l_orderkey"), "place").alias("pos"),
+        ]
+
+    @cached_property
+    def people(self) -> DataFrame:
+        return self._lines.select(
+            *self._line_entity(),
+            F.lit(None).cast("int").alias("age"),
+            sex_label(F.col("l_linestatus")).alias("sexe"),
+            F.lit(None).cast("string").alias("place_vehicule"),
+            severity_label(F.col("l_returnflag")).alias("gravite"),
+            user_label(F.col("l_linenumber")).alias("cat_usager"),
+        )
+
+    @cached_property
+    def vehicles(self) -> DataFrame:
+        part = self.base.table("part").select("p_partkey", "p_type", "p_brand", "p_size")
+        lines = self._lines.select("id_pays", "annee", "cle", "place", "l_partkey")
+        return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+            *self._line_entity(),
+            F.col("p_type").alias("type_vehicule"),
+            F.col("p_brand").alias("manoeuvre"),
+            F.col("p_size").alias("nb_occupants"),
+            F.lit("Unknown").alias("motorisation"),
+        )
+
+
 def staging(spark: SparkSession, sf_dir: str) -> Staging:
-    """Orders and their lines as staged accident files; the whole line is its position."""
-    base = TestStar(spark, sf_dir)
-    accidents = base.order_country().select(
-        "id_pays",
-        F.year("date").alias("annee"),
-        F.col("o_orderkey").alias("cle"),
-        "date",
-        "id_lieu",
-        F.struct("o_orderkey").alias("pos"),
-    )
-    place = base.place.drop("id_pays")
-    places = accidents.select("id_pays", "annee", "cle", "pos", "id_lieu").join(place, "id_lieu").select(
-        "id_pays",
-        "annee",
-        "cle",
-        "pos",
-        F.lit(None).cast("string").alias("commune"),
-        "departement",
-        "district",
-        "type_route",
-        F.lit(None).cast("int").alias("vitesse_limite"),
-        F.lit(None).cast("double").alias("latitude"),
-        F.lit(None).cast("double").alias("longitude"),
-    )
-    line = base.table("lineitem")
-    rest = [c for c in line.columns if c not in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
-    pos = F.struct(*PERSON_KEY, *rest).alias("pos")
-    lines = accidents.select("id_pays", "annee", "cle").join(
-        line.withColumn("pos", pos), F.col("cle") == F.col("l_orderkey")
-    )
-    people = lines.select(
-        "id_pays",
-        "annee",
-        "cle",
-        F.col("l_partkey").cast("string").alias("veh_src"),
-        "pos",
-        F.lit(None).cast("int").alias("age"),
-        sex_label(F.col("l_linestatus")).alias("sexe"),
-        F.lit(None).cast("string").alias("place_vehicule"),
-        severity_label(F.col("l_returnflag")).alias("gravite"),
-        user_label(F.col("l_linenumber")).alias("cat_usager"),
-    )
-    vehicles = lines.join(
-        base.table("part").select("p_partkey", "p_type", "p_brand", "p_size"),
-        F.col("l_partkey") == F.col("p_partkey"),
-    ).select(
-        "id_pays",
-        "annee",
-        "cle",
-        F.col("l_partkey").cast("string").alias("veh_src"),
-        "pos",
-        F.col("p_type").alias("type_vehicule"),
-        F.col("p_brand").alias("manoeuvre"),
-        F.col("p_size").alias("nb_occupants"),
-        F.lit("Unknown").alias("motorisation"),
-    )
-    return Staging(accidents.drop("id_lieu"), places, people, vehicles)
+    """Orders and their lines as staged accident files."""
+    return _TestStaging(spark, sf_dir)
