@@ -41,6 +41,23 @@ def new_records(batch: DataFrame, known: DataFrame, natural_key: Sequence[str])
     return not_in_target(batch, _only_in_batch(known, batch, natural_key), natural_key)
 
 
+def rows_of_wanted(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], group: Sequence[str]) -> DataFrame:
+    """Rows whose key is in ``wanted``, a stored table of keys (repeats allowed); a null in the key matches nothing.
+
+    Rows of groups (few, part of the key) without a wanted key are left out first.  Mostly all or nearly
+    all others are wanted: the distinct keys that are not, counted to be few, are broadcast, and no
+    row moves.  Otherwise rows and wanted keys meet in a shuffled join.
+    """
+    if wanted.count() <= SMALL_BATCH:
+        return rows.join(F.broadcast(wanted.select(*keys)), list(keys), "left_semi").select(*rows.columns)
+    groups = F.broadcast(wanted.select(*group).distinct())
+    near = rows.na.drop(subset=list(keys)).join(groups, list(group), "left_semi").select(*rows.columns)
+    others = stored(near.select(*keys).distinct().join(wanted, list(keys), "left_anti"), "unwanted")
+    if others.count() <= SMALL_BATCH:
+        return near.join(F.broadcast(others), list(keys), "left_anti").select(*rows.columns)
+    return near.join(wanted, list(keys), "left_semi").select(*rows.columns)
+
+
 def rows_to_insert(
     batch: DataFrame,
     target: DataFrame | None,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from starmart import codebooks
 from starmart.operators.checks import check_table
 from starmart.operators.keys import dense_ids, next_id
-from starmart.operators.loading import new_records, rows_to_insert
+from starmart.operators.loading import new_records, rows_of_wanted, rows_to_insert
 from starmart.operators.policies import WAREHOUSE_ACCESS, AccessRules, may_change, update_as_role
 from starmart.plans.calendar import calendar_staging, days_of_years, dim_temps, number_days
 from starmart.plans.star import ENTITY_KEY, Staging, assign_keys, build_tables, dim_pays
@@ -82,19 +82,20 @@ class Warehouse:
     def read(self, table: str) -> DataFrame:
         return self.snapshot().read(table, TABLES.get(table) or EXTRA_TABLES[table])
 
-    def append(self, table: str, rows: DataFrame) -> None:
+    def append(self, table: str, rows: DataFrame, gathered: bool = False) -> None:
         """Add rows in the table's layout.
 
         Tables that come from accident files are stored by country and year, so that country policies
         and year filters read only their folders and a corrected year is exchanged as a whole.
         The year is that of the rows' ``annee``, or of the fact's date.  The rebalance gives
-        each folder few files, and a country that holds most rows several of them.
+        each folder few files, and a country that holds most rows several of them.  ``gathered`` rows lie by
+        country and year already, a few of them in a task, and are written where they are.
         """
         with self.batch() as batch:
             if table in ENTITY_TABLES:
                 if "annee" not in rows.columns:
                     rows = rows.withColumn("annee", F.year("date") if "date" in rows.columns else F.lit(0))
-                batch.append(table, rows.hint("rebalance", *YEAR_LAYOUT), YEAR_LAYOUT)
+                batch.append(table, rows if gathered else rows.hint("rebalance", *YEAR_LAYOUT), YEAR_LAYOUT)
             else:
                 batch.append(table, rows)
 
@@ -159,12 +160,13 @@ class Warehouse:
                     for table in ENTITY_TABLES:
                         batch.drop(table, [f"id_pays={c}/annee={y}" for c, y in corrected])
                 accidents = stored(new_records(staging.accidents, known, ENTITY_KEY), "new-accidents")
-                fresh = accidents.select(*ENTITY_KEY).distinct()
-                rest = [getattr(staging, part).join(fresh, ENTITY_KEY, "left_semi") for part in parts[1:]]
+                fresh = accidents.select(*ENTITY_KEY)
+                rest = [rows_of_wanted(getattr(staging, part), fresh, ENTITY_KEY, YEAR_LAYOUT) for part in parts[1:]]
                 staging = Staging(accidents, *rest)
             tables = build_tables(assign_keys(staging, starts, kept), with_year=True)
             for name in [*(t for t in LOAD_ORDER if t in tables), "cle_accident"]:
-                self.append(name, tables[name])
+                # rows numbered along country and year lie together already
+                self.append(name, tables[name], gathered=name != "fait_accident" and (name != "cle_accident" or kept is None))
             if check and self.has("dim_pays"):
                 self._check_new(batch)
 

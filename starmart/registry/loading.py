@@ -9,7 +9,7 @@ from starmart.plans.star import Staging
 from starmart.plans.warehouse import Warehouse
 from starmart.registry.conforming import ACCIDENT_PARTS, BUILD_SQL
 from starmart.registry.sql import with_parts
-from starmart.sources.scratch import scratch_path
+from starmart.sources.scratch import scratch_path, stored
 from starmart.sources.testdata import staging, table
 from starmart.streaming.incremental import load_stream
 
@@ -48,15 +48,17 @@ def detect_new_records(spark, sf_dir):
     return new_records(orders, known, ["o_orderkey"])
 
 
+def _deliveries(spark, sf_dir):
+    """The years up to 1998, and all years; what is offered more than once is stored, as files are."""
+    whole = staging(spark, sf_dir)
+    everything = Staging(whole.accidents, stored(whole.places, "test-places"), whole.people, stored(whole.vehicles, "test-vehicles"))
+    parts = ("accidents", "places", "people", "vehicles")
+    return Staging(*[getattr(everything, part).filter(F.col("annee") <= 1998) for part in parts]), everything
+
+
 def incremental_load(spark, sf_dir):
     """A first load of the years up to 1998, then all years offered again."""
-    everything = staging(spark, sf_dir)
-    first = Staging(
-        *[
-            getattr(everything, part).filter(F.col("annee") <= 1998)
-            for part in ("accidents", "places", "people", "vehicles")
-        ]
-    )
+    first, everything = _deliveries(spark, sf_dir)
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
     warehouse.load_accidents(first)
     warehouse.load_accidents(everything)
@@ -69,9 +71,7 @@ class _Lost(Exception):
 
 def load_after_crash(spark, sf_dir):
     """A load that is lost after its last write, before it is published, and is then run again."""
-    everything = staging(spark, sf_dir)
-    parts = ("accidents", "places", "people", "vehicles")
-    first = Staging(*[getattr(everything, part).filter(F.col("annee") <= 1998) for part in parts])
+    first, everything = _deliveries(spark, sf_dir)
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
     warehouse.load_accidents(first)
     try:

@@ -110,7 +110,7 @@ class Batch(Snapshot):
         """Writes ``rows`` as a new part; a table without rows becomes a table all the same."""
         lot = f"lot={self.version:06d}-{self._name}-{self._lots:02d}"
         self._lots += 1
-        rows.write.mode("error").partitionBy(*partition_by).parquet(f"{self.folder.root}/{table}/{lot}")
+        rows.write.mode("error").partitionBy(*partition_by).parquet(f"{self.folder.root}/{table}/{lot}", compression="zstd")
         self.parts.setdefault(table, []).extend(_leaves(self.folder, len(partition_by), table, lot))
 
     def drop(self, table: str, folders: Sequence[str]) -> None:
