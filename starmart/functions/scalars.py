@@ -18,7 +18,8 @@ KMH_PER_MPH = 1.60934
 
 def clean_text(text: Column) -> Column:
     """Drop no-break spaces, trim, and turn missing-value words into null."""
-    trimmed = F.btrim(F.translate(text, NBSP, ""), F.lit(BLANKS))
+    # replace searches bytes; translate would look up every character of every cell
+    trimmed = F.btrim(F.replace(text, F.lit(NBSP), F.lit("")), F.lit(BLANKS))
     missing = text.isin(codebooks.NULL_WORDS_AT_READ) | trimmed.isin(codebooks.NULL_WORDS_AFTER_TRIM)
     return F.when(~missing, trimmed)
 

@@ -32,7 +32,14 @@ def list_files(spark: SparkSession, root: str | Sequence[str], pattern: str = "*
 
 
 def _occurrences(text: Column, piece: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, piece, ""))
+    """How often the character ``piece`` occurs."""
+    if len(piece.encode()) > 1:
+        return F.length(text) - F.length(F.translate(text, piece, ""))
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(piece), F.lit("")))
+
+
+def _unquoted(text: Column) -> Column:
+    return F.when(text.contains('"'), F.regexp_replace(text, '"[^"]*"', "")).otherwise(text)
 
 
 def manifest(
@@ -55,7 +62,7 @@ def manifest(
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id(), "value").alias("line"),
         "value",
     )
-    unquoted = F.regexp_replace("value", '"[^"]*"', "")
+    unquoted = _unquoted(F.col("value"))
     usual = [F.mode(_occurrences(unquoted, s), deterministic=True).alias(f"usual_{i}") for i, s in enumerate(separators)]
     # no line that starts outside of quotes ends inside of them: every line is a record
     cut = [F.bool_or(open_after(F.col("value"), s, START) == 1).alias(f"cut_{i}") for i, s in enumerate(separators)]
@@ -153,8 +160,7 @@ def read_delimited(
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, CORRUPT]])
     options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "quote": '"', "escape": '"'}
-    unquoted = F.regexp_replace(F.col(CORRUPT), '"[^"]*"', "")
-    too_many = _occurrences(unquoted, sep) > len(columns) - 1
+    too_many = _occurrences(_unquoted(F.col(CORRUPT)), sep) > len(columns) - 1
     # Never true; keeps a data column in the scan, without which the reported line cannot be read.
     no_line = F.length(F.col(f"`{columns[0]}`")) < 0
     wanted = ~F.coalesce(too_many, no_line, F.lit(False))

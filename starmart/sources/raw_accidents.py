@@ -23,7 +23,7 @@ def _no_text() -> Column:
 
 
 def _file_year() -> Column:
-    return dates.last_year_in_name(F.element_at(F.split("src_file", "/"), -1))
+    return dates.last_year_in_name(F.substring_index("src_file", "/", -1))
 
 
 def _maybe(columns: list[str], name: str | None) -> Column:
