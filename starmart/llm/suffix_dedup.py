@@ -13,8 +13,10 @@ windows long, and only runs travel:
 2. What is left, first runs whose key has other contents too, fetches its bytes and is sorted:
    suffixes go into buckets of equal first word, each bucket is merge-sorted, and two suffixes are
    compared by their common extension, found by binary search over prefix polynomial
-   hashes.  Neighbours that agree over ``LENGTH`` bytes are verified byte by byte, and so
-   is the order; a bucket that a collision misled is sorted anew by its bytes.
+   hashes, of which the lengths that the search asks for are made once for every place.
+   Suffixes that a merge finds equal go through later merges as one.  Neighbours that agree
+   over ``LENGTH`` bytes are verified byte by byte, and so is the order; a bucket that a
+   collision misled is sorted anew by its bytes.
 3. A key with many different contents would make a large group.  Its windows are dealt singly, by
    a 128-bit digest of their bytes, and again all but the first of equal ones are repeats.
 
@@ -46,6 +48,7 @@ GRAM = 32
 RUN_WINDOWS = 2048
 KEY_CONTENTS = 1000
 SHARD_BYTES = 2 << 20
+PLACES_AT_ONCE = 1 << 16
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 CODEC = "zstd"
@@ -73,7 +76,10 @@ class Hashed:
         n = len(self.bytes)
         powers, self.inverse = _powers(n + 1)
         self.prefix = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((self.bytes.astype(np.uint64) + np.uint64(1)) * powers[:n], out=self.prefix[1:])
+        terms = self.bytes.astype(np.uint64)
+        terms += np.uint64(1)
+        terms *= powers[:n]
+        np.cumsum(terms, out=self.prefix[1:])
 
     def of(self, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
         return (self.prefix[start + length] - self.prefix[start]) * self.inverse[start]
@@ -152,30 +158,32 @@ class SuffixSort:
     """Suffixes of a byte string by their first ``length`` bytes, inside given groups."""
 
     def __init__(self, raw: bytes, length: int = LENGTH) -> None:
-        self.hashed, self.length = Hashed(raw), length
-        padded = np.zeros(len(raw) + 8, dtype=np.uint64)
-        padded[: len(raw)] = self.hashed.bytes
-        self.word = np.zeros(len(raw), dtype=np.uint64)
-        for t in range(8):
-            self.word |= padded[t : t + len(raw)] << np.uint64(56 - 8 * t)
-
-    def extension(self, x: np.ndarray, y: np.ndarray, known: int = 0) -> np.ndarray:
-        """Length of the common beginning, at most ``length``, by binary search on hashes."""
-        low = np.full(len(x), known, dtype=np.int64)
-        high = np.full(len(x), self.length, dtype=np.int64)
-        while (open_ := np.flatnonzero(low < high)).size:
-            middle = (low[open_] + high[open_] + 1) >> 1
-            same = self.hashed.of(x[open_], middle) == self.hashed.of(y[open_], middle)
-            low[open_] = np.where(same, middle, low[open_])
-            high[open_] = np.where(same, high[open_], middle - 1)
-        return low
-
-    def below(self, x: np.ndarray, y: np.ndarray, or_equal: np.ndarray) -> np.ndarray:
-        """Whether suffix x is less than y, or not greater where ``or_equal``."""
-        common = self.extension(x, y, 8)
-        whole = common >= self.length
-        at = np.where(whole, 0, common)
-        return np.where(whole, or_equal, self.hashed.bytes[x + at] < self.hashed.bytes[y + at])
+        words = -(-length // 8)
+        steps = [8 << k for k in reversed(range((words - 1).bit_length()))]
+        beyond = 8 + sum(steps)  # how far a comparison may look past a suffix's start
+        hashed, self.length = Hashed(raw + bytes(beyond + 8)), length
+        self.bytes, size = hashed.bytes, len(raw) + beyond
+        self.word = np.empty(size, dtype=np.uint64)
+        # the hashes that the binary search asks for, of every place; a word stands for itself
+        self.steps = [(s, self.word if s == 8 else np.empty(size - s + 1, dtype=np.uint64)) for s in steps]
+        for at in range(0, size, PLACES_AT_ONCE):
+            places = np.arange(at, min(at + PLACES_AT_ONCE, size))
+            self.word[places] = sum(self.bytes[places + t].astype(np.uint64) << np.uint64(56 - 8 * t) for t in range(8))
+            for s, hashes in self.steps:
+                if s > 8:
+                    within = places[: max(0, len(hashes) - at)]
+                    hashes[within] = hashed.of(within, s)
+        counted = np.clip(length - 8 * np.arange(beyond // 8 + 1), 0, 8)
+        self.counted = np.array([(1 << 64) - (1 << 8 * (8 - c)) for c in counted.tolist()], dtype=np.uint64)
+
+    def differing(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of suffixes with equal first words, the words at the end of their common extension, found
+        by binary search on hashes.  Words are equal if the suffixes agree over ``length`` bytes."""
+        common = np.full(len(x), 8, dtype=np.int64)
+        for step, hashes in self.steps:
+            common += step * (hashes[x + common] == hashes[y + common])
+        counted = self.counted[common >> 3]
+        return self.word[x + common] & counted, self.word[y + common] & counted
 
     def classes(self, starts: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sorted positions in ``starts``, and for each but the first whether it equals the one before.
@@ -196,56 +204,90 @@ class SuffixSort:
         return self._verified(starts, self._merged(starts, order, begin, size), order, begin, size)
 
     def _merged(self, starts: np.ndarray, order: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Bottom-up mergesort of all buckets at once: a suffix's place in a merge is its place
-        in its own half plus the number of suffixes before it in the other half."""
-        begin, end = np.repeat(begin, size), np.repeat(begin + size, size)
-        place = np.arange(len(order))
-        width, widest = 1, int(size.max())
-        while width < widest:
-            block = (place - begin) // width
-            other = begin + (block ^ 1) * width
-            moving = np.flatnonzero(other < end)
-            right = (block[moving] & 1) == 1
-            own = starts[order[moving]]
-            low = other[moving].copy()
-            high = np.minimum(low + width, end[moving])
-            while (open_ := np.flatnonzero(low < high)).size:
-                middle = (low[open_] + high[open_]) >> 1
-                theirs = starts[order[middle]]
-                # equal ones of the left half stand before those of the right half
-                before = self.below(theirs, own[open_], right[open_])
-                low[open_] = np.where(before, middle + 1, low[open_])
-                high[open_] = np.where(before, high[open_], middle)
-            merged = order.copy()
-            to = place[moving] + (low - other[moving]) - np.where(right, width, 0)
-            merged[to] = order[moving]
-            order = merged
-            width *= 2
-        return order
+        """Mergesort of all buckets at once, from the runs in which they already stand.
+
+        A suffix of a right half moves behind those of the left half that are not greater; the
+        left half fills the places between.  Suffixes found equal move on as one.
+        """
+        at = starts[order]
+        bucket = np.repeat(np.arange(len(size)), size)
+        word, following = self.differing(at[:-1], at[1:])
+        apart = bucket[1:] != bucket[:-1]
+        new = np.concatenate(([True], apart | (word != following)))
+        item = np.cumsum(new) - 1
+        at, falls = at[new], np.concatenate(([True], apart | (word > following)))[new]
+        heir, rank = np.arange(len(at)), np.zeros(len(at), dtype=np.int64)
+        who, low = np.arange(len(at)), np.flatnonzero(falls)  # items in their order, and where runs begin
+        own = bucket[new][low]  # a run's bucket
+        while len(low):
+            high = np.concatenate((low[1:], [len(who)]))
+            first = np.concatenate(([True], own[1:] != own[:-1]))
+            # buckets of one run are done
+            done = first & np.concatenate((first[1:], [True]))
+            ended = np.repeat(done, high - low)
+            place = np.arange(len(who)) - np.repeat(low, high - low)
+            rank[who[ended]] = (begin[np.repeat(own, high - low)] + place)[ended]
+            who, length, own, first = who[~ended], (high - low)[~done], own[~done], first[~done]
+            if not len(who):
+                break
+            low = np.cumsum(length) - length
+            # of a bucket's runs every second one goes into the one before it
+            number = np.arange(len(low))
+            right = np.flatnonzero((number - np.maximum.accumulate(np.where(first, number, 0))) & 1)
+            moves = length[right]
+            inner = np.arange(moves.sum()) - np.repeat(np.cumsum(moves) - moves, moves)
+            moving = np.repeat(low[right], moves) + inner
+            suffix, found = at[who], np.repeat(low[right - 1], moves)
+            end, mine = np.repeat(low[right], moves), suffix[moving]
+            same = np.zeros(len(moving), dtype=bool)
+            while (open_ := np.flatnonzero(found < end)).size:
+                middle = (found[open_] + end[open_]) >> 1
+                theirs, word = self.differing(suffix[middle], mine[open_])
+                before = theirs <= word
+                found[open_] = np.where(before, middle + 1, found[open_])
+                end[open_] = np.where(before, end[open_], middle)
+                same[open_] = np.where(before, theirs == word, same[open_])
+            heir[who[moving[same]]] = who[found[same] - 1]
+            # hashes that contradict each other could give two suffixes one place
+            to = np.maximum.accumulate(found) + inner
+            stays, free = np.ones(len(who), dtype=bool), np.ones(len(who), dtype=bool)
+            stays[moving], free[to] = False, False
+            merged = np.empty_like(who)
+            merged[to], merged[free] = who[moving], who[stays]
+            joined = np.zeros(len(who) + 1, dtype=np.int64)
+            joined[to[same] + 1] = 1
+            who = merged[joined[1:] == 0]
+            left = np.ones(len(low), dtype=bool)
+            left[right] = False
+            low, own = (low - np.cumsum(joined)[low])[left], own[left]
+        while not np.array_equal(heir, heir[heir]):
+            heir = heir[heir]
+        return order[np.argsort(rank[heir][item], kind="stable")]
 
     def _verified(self, starts: np.ndarray, order: np.ndarray, members: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Compares neighbours by their bytes; a bucket in disorder is sorted by bytes.
+        """Compares neighbours by their bytes, eight at once; a bucket in disorder is sorted by bytes.
 
-        ``members`` has the same buckets before the merges, which lose some if hashes contradict each other.
+        ``members`` has the same buckets before the merges.
         """
         pair = np.ones(len(order), dtype=bool)
         pair[begin] = False
         equal = np.zeros(len(order), dtype=bool)
         wrong = np.bincount(order, minlength=len(starts))[members] != 1
-        span = np.arange(self.length)
+        span = np.append(np.arange(0, self.length - 8, 8), self.length - 8)
         for at in range(0, len(order), 50_000):
             rows = np.arange(max(at, 1), min(at + 50_000, len(order)))
             rows = rows[pair[rows]]
             if not len(rows):
                 continue
-            a = self.hashed.bytes[starts[order[rows - 1]][:, None] + span]
-            b = self.hashed.bytes[starts[order[rows]][:, None] + span]
+            a = self.word[starts[order[rows - 1]][:, None] + span]
+            b = self.word[starts[order[rows]][:, None] + span]
             differ = a != b
             equal[rows] = ~differ.any(axis=1)
             place = differ.argmax(axis=1)[:, None]
-            wrong[rows] |= ~equal[rows] & (np.take_along_axis(a, place, 1) > np.take_along_axis(b, place, 1))[:, 0]
+            above = (np.take_along_axis(a, place, 1) > np.take_along_axis(b, place, 1))[:, 0]
+            wrong[rows] |= np.where(equal[rows], order[rows - 1] > order[rows], above)
         if wrong.any():
-            raw = self.hashed.bytes.tobytes()
+            raw = self.bytes.tobytes()
             bucket = np.repeat(np.arange(len(size)), size)
             for k in np.unique(bucket[wrong]).tolist():
                 a, b = int(begin[k]), int(begin[k] + size[k])

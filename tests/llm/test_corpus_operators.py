@@ -159,6 +159,35 @@ def test_suffix_sort_orders_and_survives_collisions(monkeypatch):
     assert classes() == want
 
 
+@pytest.mark.parametrize("collide", [False, True])
+def test_many_equal_suffixes_are_merged_with_few_comparisons(monkeypatch, collide):
+    draw = random.Random(3)
+    raw = b"".join(("a line that comes again\n" * draw.randint(1, 60) + " ".join(t)).encode() for t in zip(*[iter(passages(5, 60))] * 2, strict=True))
+    starts = np.arange(len(raw) - 99)
+    group = starts % 3 // 2
+    of, looked = suffix_dedup.Hashed.of, [0]
+
+    def counted(self, start, length):
+        looked[0] += len(start)
+        return of(self, start, length) & np.uint64(7 if collide else 2**64 - 1)
+
+    monkeypatch.setattr(suffix_dedup.Hashed, "of", counted)
+    if differing := getattr(suffix_dedup.SuffixSort, "differing", None):
+
+        def compared(self, x, y):
+            looked[0] += 2 * len(self.steps) * len(x)
+            return differing(self, x, y)
+
+        monkeypatch.setattr(suffix_dedup.SuffixSort, "differing", compared)
+    order, equal = suffix_dedup.SuffixSort(raw).classes(starts, group)
+    cut = [(int(g), raw[i : i + 100]) for i, g in enumerate(group.tolist())]
+    met = Counter((g, s[:8]) for g, s in cut)
+    want = [i for i in sorted(range(len(cut)), key=lambda i: (cut[i], i)) if met[cut[i][0], cut[i][1][:8]] > 1]
+    assert order.tolist() == want
+    assert equal.tolist() == [False, *(cut[i] == cut[j] for i, j in zip(want, want[1:], strict=False))]
+    assert collide or looked[0] < 50 * len(starts)  # 261 when each suffix of a merge searched the other half
+
+
 # Neighbours -------------------------------------------------------------
 
 
