@@ -27,10 +27,13 @@ def _only_in_batch(target: DataFrame | None, batch: DataFrame, keys: Sequence[st
     """The target's keys that a stored batch has as well, if the batch is counted small.
 
     Its keys are broadcast, so a big target is scanned but not shuffled.  For a
-    larger batch the target comes back whole and meets it in a shuffled join.
+    larger batch the target comes back whole and meets it in a shuffled join, which is asked
+    for: by the size of its compressed files Spark would broadcast millions of keys.
     """
-    if target is None or batch.count() > SMALL_BATCH:
-        return target
+    if target is None:
+        return None
+    if batch.count() > SMALL_BATCH:
+        return target.hint("merge")
     wanted = F.broadcast(batch.select(*keys).na.drop())
     return target.select(*keys).join(wanted, list(keys), "left_semi")
 
@@ -46,16 +49,17 @@ def rows_of_wanted(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], grou
 
     Rows of groups (few, part of the key) without a wanted key are left out first.  Mostly all or nearly
     all others are wanted: the distinct keys that are not, counted to be few, are broadcast, and no
-    row moves.  Otherwise rows and wanted keys meet in a shuffled join.
+    row moves.  Otherwise rows and wanted keys meet in a shuffled join, whatever the size of the keys' files.
     """
     if wanted.count() <= SMALL_BATCH:
         return rows.join(F.broadcast(wanted.select(*keys)), list(keys), "left_semi").select(*rows.columns)
     groups = F.broadcast(wanted.select(*group).distinct())
     near = rows.na.drop(subset=list(keys)).join(groups, list(group), "left_semi").select(*rows.columns)
-    others = stored(near.select(*keys).distinct().join(wanted, list(keys), "left_anti"), "unwanted")
+    many = wanted.hint("merge")
+    others = stored(near.select(*keys).distinct().join(many, list(keys), "left_anti"), "unwanted")
     if others.count() <= SMALL_BATCH:
         return near.join(F.broadcast(others), list(keys), "left_anti").select(*rows.columns)
-    return near.join(wanted, list(keys), "left_semi").select(*rows.columns)
+    return near.join(many, list(keys), "left_semi").select(*rows.columns)
 
 
 def rows_to_insert(

@@ -92,7 +92,7 @@ def assign_keys(
         if kept is None:
             return number(df, "id_accident")
         df = stored(df, "accidents")
-        old = df.join(kept.select(*ENTITY_KEY, "id_accident"), ENTITY_KEY)
+        old = df.join(kept.select(*ENTITY_KEY, "id_accident").hint("merge"), ENTITY_KEY)
         # a number that is listed twice keeps its id once; the others are new rows
         first = first_per_key(old, ["id_accident"], ["pos"]).select("id_accident", *df.columns)
         taken = first.select(*ENTITY_KEY, "pos")

@@ -37,36 +37,47 @@ def _joined(sep: str, *cells: Column) -> Column:
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``dossier, genre, annee, place, value``: every line of every file; headers have the first place."""
+    """``dossier, genre, annee, place, value``: every line of every file; headers have the first place.
+
+    Accidents, and lines with their accidents, are joined once each and give the lines of all their kinds; kinds
+    that a reader leaves out are not put together.  Tables that grow are not broadcast by the size of their files.
+    """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("date"))
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment").hint("merge")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     acc = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     acc = acc.withColumn("annee", F.year("date"))
-    line = acc.join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    lineitem = table(spark, sf_dir, "lineitem")
+    line = acc.join(lineitem.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
     fr, cle, n = F.col("n_regionkey") <= 1, F.col("o_orderkey"), F.col("l_linenumber")
     flag, quantity = F.col("l_returnflag"), F.col("l_quantity").cast("int")
     person = F.when(n <= 3, 1).when(n <= 5, 2).otherwise(3)
     sex = F.when(F.col("l_linestatus") == "O", 1).otherwise(2)
-    no_line = F.struct(*[F.lit(None).cast(table(spark, sf_dir, "lineitem").schema[c].dataType).alias(c) for c in LINE_ORDER])
-    kinds = [
-        (FR, "caracteristiques", acc.where(fr), _joined(";", cle, F.month("date"), F.dayofmonth("date"), F.lit(""), F.lit(""), F.col("c_nationkey") + 1, F.col("n_name"))),
-        (FR, "lieux", acc.where(fr), _joined(";", cle, F.lit(4), 50 + 10 * (F.col("o_custkey") % 9))),
-        (FR, "usagers", line.where(fr), _joined(";", cle, F.col("l_partkey"), 1900 + quantity, F.when(flag == "R", 2).when(flag == "A", 3).otherwise(4), sex, n, person)),
-        (FR, "vehicules", line.where(fr), _joined(";", cle, F.col("l_partkey"), F.lit(7), n, n, F.lit(1))),
-        (UK, "collision", acc.where(~fr), _joined(",", cle, F.date_format("date", "dd/MM/yyyy"), F.col("c_mktsegment"), F.lit(3), 20 + 10 * (F.col("o_custkey") % 6), F.lit(""), F.lit(""))),
-        (UK, "casualty", line.where(~fr), _joined(",", cle, person, sex, quantity, F.when(flag == "R", 1).when(flag == "A", 2).otherwise(3))),
-        (UK, "vehicle", line.where(~fr), _joined(",", cle, F.lit(9), n, F.lit(1))),
-    ]
+    of_accident = {
+        "caracteristiques": _joined(";", cle, F.month("date"), F.dayofmonth("date"), F.lit(""), F.lit(""), F.col("c_nationkey") + 1, F.col("n_name")),
+        "lieux": _joined(";", cle, F.lit(4), 50 + 10 * (F.col("o_custkey") % 9)),
+        "collision": _joined(",", cle, F.date_format("date", "dd/MM/yyyy"), F.col("c_mktsegment"), F.lit(3), 20 + 10 * (F.col("o_custkey") % 6), F.lit(""), F.lit("")),
+    }
+    of_line = {
+        "usagers": _joined(";", cle, F.col("l_partkey"), 1900 + quantity, F.when(flag == "R", 2).when(flag == "A", 3).otherwise(4), sex, n, person),
+        "vehicules": _joined(";", cle, F.col("l_partkey"), F.lit(7), n, n, F.lit(1)),
+        "casualty": _joined(",", cle, person, sex, quantity, F.when(flag == "R", 1).when(flag == "A", 2).otherwise(3)),
+        "vehicle": _joined(",", cle, F.lit(9), n, F.lit(1)),
+    }
+    no_line = F.struct(*[F.lit(None).cast(lineitem.schema[c].dataType).alias(c) for c in LINE_ORDER])
+    folder = F.when(F.col("genre").isin(list(KINDS[FR])), "accidents_fr").otherwise("accidents_uk").alias("dossier")
     parts = []
-    for country, kind, rows, value in kinds:
-        ordered = F.struct(*LINE_ORDER) if "l_linenumber" in rows.columns else no_line
-        body = rows.select("annee", F.struct(cle.alias("cle"), ordered.alias("ligne")).alias("place"), value.alias("value"))
-        head = {FR: FR_HEADS, UK: UK_HEADS}[country][kind]
-        heads = acc.select("annee").distinct().select("annee", F.lit(None).cast(body.schema["place"].dataType).alias("place"), F.lit(head).alias("value"))
-        folder = "accidents_fr" if country == FR else "accidents_uk"
-        parts.append(heads.unionByName(body).select(F.lit(folder).alias("dossier"), F.lit(kind).alias("genre"), "*"))
-    return reduce(DataFrame.unionByName, parts)
+    for rows, values, ordered in [(acc, of_accident, no_line), (line, of_line, F.struct(*LINE_ORDER))]:
+        kinds = [F.array(*[F.lit(k) for k in values if k in KINDS[country]]) for country in (FR, UK)]
+        place = F.struct(cle.alias("cle"), ordered.alias("ligne")).alias("place")
+        value = reduce(lambda case, kind: case.when(F.col("genre") == kind[0], kind[1]), values.items(), F)
+        body = rows.withColumn("genre", F.explode(F.when(fr, kinds[0]).when(~fr, kinds[1])))
+        parts.append(body.select(folder, "genre", "annee", place, value.alias("value")))
+    heads = FR_HEADS | UK_HEADS
+    named = F.explode(F.array(*[F.struct(F.lit(k).alias("genre"), F.lit(v).alias("value")) for k, v in heads.items()])).alias("head")
+    head = acc.select("annee").distinct().select("annee", named).select("annee", "head.*")
+    first = F.lit(None).cast(parts[0].schema["place"].dataType).alias("place")
+    return reduce(DataFrame.unionByName, [head.select(folder, "genre", "annee", first, "value"), *parts])
 
 
 def weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,13 +129,16 @@ def years_of(spark: SparkSession, sf_dir: str) -> list[int]:
 
 
 def described(warehouse: Warehouse) -> DataFrame:
-    """Every fact with its source number and with what its place, person and vehicle say."""
+    """Every fact with its source number and with what its place, person and vehicle say.
+
+    The tables grow with the facts, and their files say little of their rows' size: all are shuffled.
+    """
     keys = warehouse.read("cle_accident").select("id_accident", F.col("cle").cast("bigint").alias("cle"), "annee")
-    fact = warehouse.read("fait_accident").join(keys, "id_accident")
+    fact = warehouse.read("fait_accident").join(keys.hint("merge"), "id_accident")
     place = warehouse.read("dim_localisation").select("id_lieu", "commune", "departement", "district", "vitesse_limite")
     person = warehouse.read("dim_usager").select("id_usager", "age", "sexe", "gravite", "cat_usager")
     vehicle = warehouse.read("dim_vehicule").select("id_vehicule", "type_vehicule", "nb_occupants")
-    joined = fact.join(place, "id_lieu").join(person, "id_usager").join(vehicle, "id_vehicule")
+    joined = fact.join(place.hint("merge"), "id_lieu").join(person.hint("merge"), "id_usager").join(vehicle.hint("merge"), "id_vehicule")
     return joined.drop("id_accident", "id_lieu", "id_usager", "id_vehicule")
 
 
