@@ -21,14 +21,15 @@ def orphans(child: DataFrame, child_keys: Sequence[str], parent: DataFrame, pare
     """Foreign keys without a parent, with their row count ``n``; null keys are allowed.
 
     Child keys are counted first: a parent with very many children is one row in
-    the join.
+    the join.  Both sides are shuffled: files of running ids are far smaller than the ids, so a
+    broadcast by file size could hold all of a large parent.
     """
     used = child.na.drop(subset=list(child_keys)).groupBy(*child_keys).agg(F.count(F.lit(1)).alias("n"))
     known = parent.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(parent_keys)])
     match = reduce(
         lambda a, b: a & b, [F.col(c) == F.col(f"_p{i}") for i, c in enumerate(child_keys)]
     )
-    return used.join(known, match, "left_anti")
+    return used.join(known.hint("merge"), match, "left_anti")
 
 
 def too_long(df: DataFrame, widths: Mapping[str, int]) -> DataFrame:

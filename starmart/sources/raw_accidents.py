@@ -78,9 +78,12 @@ def fr_places(layout: Layout) -> DataFrame:
 
 
 def fr_located(accidents: DataFrame, places: DataFrame) -> DataFrame:
-    """Accidents with their place rows; repeats of a place row stay, in file order."""
+    """Accidents with their place rows; repeats of a place row stay, in file order.
+
+    A place row is many times as long as its line, as it holds its position, so it is not broadcast by its file's size.
+    """
     lat, lon = geo.degrees_pair(F.col("lat"), F.col("long"))
-    return accidents.join(places, ["annee", "cle"], "left").select(
+    return accidents.join(places.hint("merge"), ["annee", "cle"], "left").select(
         "id_pays",
         "annee",
         "cle",

@@ -6,13 +6,15 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.operators import loading
+from starmart.operators import checks, loading
 from starmart.plans.star import KeyedStaging, Staging, assign_keys
 from starmart.registry import raw
 from starmart.schemas import EXTRA_TABLES, TABLES
+from starmart.sources.raw_accidents import fr_located
 from starmart.sources.scratch import stored
 
 KEY = ["id_pays", "annee", "cle"]
+PLACED = "struct<src_file:string,src_block:bigint,src_row:bigint>"
 
 
 def plan(df):
@@ -29,6 +31,24 @@ def test_described_facts(spark):
     assert "Broadcast" not in text and text.count("SortMergeJoin") == 4
 
 
+def test_references(spark):
+    child, parent = stored(spark.range(5).toDF("a"), "child"), stored(spark.range(3).toDF("b"), "parent")
+    missing = checks.orphans(child, ["a"], parent, ["b"])
+    assert "Broadcast" not in plan(missing)
+    assert sorted(r["a"] for r in missing.collect()) == [3, 4]
+
+
+def test_places_of_accidents(spark):
+    accidents = spark.createDataFrame(
+        [(1, 2005, "a", ("f", 0, 1), None, None, None, "75"), (1, 2005, "b", ("f", 0, 2), None, None, None, "75")],
+        f"id_pays int, annee int, cle string, pos {PLACED}, lat string, long string, com string, dep string",
+    )
+    places = spark.createDataFrame([(2005, "a", ("g", 0, 1), "1", "50"), (2005, "a", ("g", 0, 2), "1", "70")], f"annee int, cle string, lieu_pos {PLACED}, catr string, vma string")
+    located = fr_located(accidents, stored(places, "places"))
+    assert "Broadcast" not in plan(located)
+    assert sorted((r["cle"], r["vitesse_limite"] or 0) for r in located.collect()) == [("a", 50), ("a", 70), ("b", 0)]
+
+
 def test_a_large_batch_meets_the_whole_target(spark, monkeypatch):
     monkeypatch.setattr(loading, "SMALL_BATCH", 2)
     batch, known = spark.range(5).toDF("k"), stored(spark.range(3).toDF("k"), "known")
